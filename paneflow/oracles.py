@@ -268,18 +268,18 @@ FROM judged WHERE reason IS NOT NULL""",
     "company_aggregates": f"""
 WITH {COMPANIES},
 firsts AS (
-  SELECT id, event_time, holder_id, min((arr, event_id, dup)) AS at,
+  SELECT id, event_time, holder_id, min((arr, event_id, dup)) AS first_at,
          event_time - event_time % {HOUR} AS w_start
   FROM good GROUP BY id, company_name, trade_license_number, match, event_time,
                      n_share_holders, holder_id, holder
 ),
 placed AS (
-  SELECT *, (row_number() OVER (PARTITION BY id, w_start ORDER BY event_time, at) - 1)
+  SELECT *, (row_number() OVER (PARTITION BY id, w_start ORDER BY event_time, first_at) - 1)
             // {PART} AS part
   FROM firsts
 )
 SELECT id, w_start, part, count(*) AS n,
-       string_agg(holder_id || '@' || event_time, ',' ORDER BY event_time, at) AS companies
+       string_agg(holder_id || '@' || event_time, ',' ORDER BY event_time, first_at) AS companies
 FROM placed GROUP BY ALL""",
     "wrap_single": f"""
 WITH {EVENTS} SELECT user_id, 1 AS n, CAST(event_id AS VARCHAR) AS ids FROM ev""",
@@ -298,4 +298,16 @@ SELECT i AS id, 'Skynight Inc' AS companyName, 'Trd4534rF' AS tradeLicenseNumber
        false AS match, 1704067200000 + (event_id * 10 + i) * 500 AS eventTime,
        'Cf123/Prashant Patel;Cf789/Usha Patel' AS share_holders
 FROM events, generate_series(0, 9) AS s(i)""",
+    "stream_event_time_results": f"""
+WITH {EVENTS}, {_windows("ev", "ms", HOUR)}
+SELECT user_id, w_start, w_end, 'on_time' AS kind, count(*) AS n,
+       string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY ms, event_id) AS ids
+FROM (SELECT DISTINCT * FROM win) WHERE w_end - 1 <= (SELECT max(ms) FROM ev) - {DELAY}
+GROUP BY ALL""",
+    "stream_ingestion_results": f"""
+WITH {EVENTS}, {_windows("ev", "ms", HOUR)}
+SELECT user_id, w_start, w_end, 'final' AS kind, count(*) AS n,
+       string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY ms, event_id) AS ids
+FROM win WHERE w_end <= (SELECT max(ms) FROM ev) - {DELAY}
+GROUP BY ALL""",
 }

@@ -27,6 +27,12 @@ def _nullable(dtype: T.DataType) -> T.DataType:
     return dtype
 
 
+def _once(rows: DataFrame, value: Column, name: str) -> DataFrame:
+    """Add a costly column so that it is computed once per row. As a generated
+    column it is not copied into every expression and filter that reads it."""
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
 def _is_null(field: str) -> Callable[[Column], Column]:
     return lambda element: element[field].isNull()
 
@@ -67,9 +73,7 @@ def parse_json(
     wanted = _nullable(schema)
     shape = T.StructType([*wanted.fields, T.StructField(_CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    parsed = rows.withColumn(
-        "_parsed", F.from_json(F.col(value).cast("string"), shape, options)
-    )
+    parsed = _once(rows, F.from_json(F.col(value).cast("string"), shape, options), "_parsed")
     rec = F.struct(*[F.col("_parsed")[f].alias(f) for f in schema.fieldNames()])
     bad = F.col("_parsed").isNull() | F.col(f"_parsed.{_CORRUPT}").isNotNull()
     return _with_reason(parsed, bad, rec, schema, name).drop("_parsed")
@@ -78,12 +82,13 @@ def parse_json(
 def _with_reason(
     rows: DataFrame, bad: Column, rec: Column, schema: T.StructType, name: str
 ) -> DataFrame:
-    rows = rows.withColumn(name, rec)
-    missing = required_fields(schema, F.col(name))
-    return rows.withColumn(
-        "reason",
-        F.when(bad, F.lit(MALFORMED)).when(missing != "", F.concat(F.lit(MISSING), missing)),
+    rows = _once(rows, F.struct(rec.alias("rec"), bad.alias("bad")), "_checked")
+    missing = required_fields(schema, F.col("_checked.rec"))
+    reason = F.when(F.col("_checked.bad"), F.lit(MALFORMED)).when(
+        missing != "", F.concat(F.lit(MISSING), missing)
     )
+    rows = rows.withColumns({name: F.col("_checked.rec"), "reason": reason})
+    return rows.drop("_checked")
 
 
 def parse_company_json(rows: DataFrame, value: str = "value", name: str = "rec") -> DataFrame:
@@ -146,7 +151,7 @@ def parse_avro(
         F.when(F.col("schema_id") == schema_id, from_avro("payload", text, options))
         for schema_id, text in writer_schemas.items()
     ]
-    rows = rows.withColumn("_parsed", F.coalesce(*tries))
+    rows = _once(rows, F.coalesce(*tries), "_parsed")
     rec = F.struct(*[F.col("_parsed")[f].alias(f) for f in schema.fieldNames()])
     # A broken payload decodes to a record without any value.
     empty = [F.col("_parsed")[f].isNull() for f in schema.fieldNames()]

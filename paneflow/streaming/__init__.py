@@ -1,0 +1,37 @@
+from paneflow.streaming.jobs import (
+    custom_window_stream,
+    event_time_stream,
+    fast_event_time_stream,
+    ingestion_time_stream,
+    prepare,
+    stream_event_windows,
+    stream_ingestion_windows,
+)
+from paneflow.streaming.sinks import (
+    LateCounter,
+    count_late,
+    dead_letter_messages,
+    kafka_messages,
+    read_table,
+    start_console,
+    start_kafka,
+    start_table,
+)
+
+__all__ = [
+    "LateCounter",
+    "count_late",
+    "custom_window_stream",
+    "dead_letter_messages",
+    "event_time_stream",
+    "fast_event_time_stream",
+    "ingestion_time_stream",
+    "kafka_messages",
+    "prepare",
+    "read_table",
+    "start_console",
+    "start_kafka",
+    "start_table",
+    "stream_event_windows",
+    "stream_ingestion_windows",
+]

@@ -1,2 +1,226 @@
-def stream_event_windows(*a): raise NotImplementedError
-def stream_ingestion_windows(*a): raise NotImplementedError
+"""The three jobs as Structured Streaming queries."""
+
+from __future__ import annotations
+
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from paneflow.config import JobConfig
+from paneflow.functions.time import TimeDomain, event_timestamp, with_windows
+from paneflow.layout import Layout
+from paneflow.session import ROCKSDB_PROVIDER
+from paneflow.streaming import processors
+from paneflow.streaming.processors import (
+    HORIZON_MS,
+    EarlyFireProcessor,
+    LatenessProcessor,
+    WindowProcessor,
+    WindowSettings,
+)
+from paneflow.streaming.sinks import count_late, read_table, start_table
+
+# Processors travel to the executors as code, so the package need not be there.
+cloudpickle.register_pickle_by_value(processors)
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """State in RocksDB, on disk and with its changes logged per batch."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"
+    )
+    return spark
+
+
+def _output_schema(rows: DataFrame, layout: Layout) -> T.StructType:
+    keys = [T.StructField(k, rows.schema[k].dataType) for k in layout.keys]
+    return T.StructType(
+        [
+            *keys,
+            T.StructField("w_start", T.LongType()),
+            T.StructField("w_end", T.LongType()),
+            T.StructField("slice", T.LongType()),
+            T.StructField("part", T.LongType()),
+            T.StructField("pane", T.IntegerType()),
+            T.StructField("kind", T.StringType()),
+            T.StructField("payloads", T.ArrayType(T.StringType())),
+        ]
+    )
+
+
+def _stateful(
+    rows: DataFrame,
+    layout: Layout,
+    size_ms: int,
+    slices: int,
+    processor: WindowProcessor,
+    event_domain: bool,
+) -> DataFrame:
+    """Run a processor per key, window and slice. The record travels as JSON text,
+    so that Python compares and stores it without taking it apart."""
+    placed = with_windows(rows, layout.event_ms, size_ms)
+    # Equal records have equal event times, so a slice of the window's time span
+    # holds all copies of its records and slices follow one another in the list.
+    cut = F.floor((F.col(layout.event_ms) - F.col("w_start")) * slices / size_ms)
+    record = T.StructType([rows.schema[c] for c in layout.record])
+    slim = placed.select(
+        *layout.keys,
+        "w_start",
+        cut.alias("slice"),
+        F.col(layout.event_ms).alias("ms"),
+        *[F.col(c).alias(f"arrival_{i}") for i, c in enumerate(layout.arrival)],
+        F.to_json(layout.record_struct(), {"ignoreNullFields": "false"}).alias("payload"),
+        event_timestamp(layout.event_ms).alias("event_ts"),
+    )
+    if event_domain:
+        slim = slim.withWatermark("event_ts", f"{HORIZON_MS} milliseconds")
+    mode = TimeDomain.EVENT if event_domain else TimeDomain.PROCESSING
+    out = slim.groupBy(*layout.keys, "w_start", "slice").transformWithStateInPandas(
+        statefulProcessor=processor,
+        outputStructType=_output_schema(rows, layout),
+        outputMode="append",
+        timeMode=mode.value,
+    )
+    return out.withColumn(
+        "companies", F.transform("payloads", lambda p: F.from_json(p, record))
+    ).drop("payloads")
+
+
+def _settings(layout: Layout, config: JobConfig, size_ms: int, domain: TimeDomain) -> WindowSettings:
+    event = domain is TimeDomain.EVENT
+    return WindowSettings(
+        keys=layout.keys,
+        arrival=tuple(f"arrival_{i}" for i in range(len(layout.arrival))),
+        size_ms=size_ms,
+        lateness_ms=config.lateness_ms,
+        shift_ms=HORIZON_MS - config.watermark_delay_ms if event else 0,
+        part_rows=config.part_rows,
+        early_ms=config.early_fire_ms,
+        event_domain=event,
+    )
+
+
+def event_time_stream(
+    rows: DataFrame, layout: Layout, config: JobConfig, slices: int = 1
+) -> DataFrame:
+    """Event-time windows with allowed lateness. Rows out: key, window, slice,
+    part, pane, kind (`on_time`, `refire`, `refire_delta`, `late`), `companies`.
+
+    `slices` above 1 spreads each window's state over that many stretches of its
+    time span, for keys too busy for one task; every stretch then fires by itself
+    and a window's list is its slices in order.
+    """
+    settings = _settings(layout, config, config.window_ms, TimeDomain.EVENT)
+    return _stateful(rows, layout, config.window_ms, slices, LatenessProcessor(settings), True)
+
+
+def custom_window_stream(
+    rows: DataFrame,
+    layout: Layout,
+    config: JobConfig,
+    domain: TimeDomain = TimeDomain.PROCESSING,
+    slices: int = 1,
+) -> DataFrame:
+    """Event-time windows with early and final lists on the wall clock or on the
+    watermark; kinds `early`, `final` and `late`."""
+    settings = _settings(layout, config, config.custom_window_ms, domain)
+    return _stateful(
+        rows,
+        layout,
+        config.custom_window_ms,
+        slices,
+        EarlyFireProcessor(settings),
+        domain is TimeDomain.EVENT,
+    )
+
+
+def _built_in(
+    rows: DataFrame, layout: Layout, ts: str, delay_ms: int, size_ms: int, slices: int
+) -> DataFrame:
+    """Windowed gathering with Spark's own streaming aggregation."""
+    marked = rows.withWatermark(ts, f"{delay_ms} milliseconds")
+    window = F.window(ts, f"{size_ms} milliseconds")
+    offset = F.pmod(F.unix_millis(ts), F.lit(size_ms).cast("long"))
+    item = F.struct(
+        F.col(layout.event_ms).alias("ms"),
+        layout.arrival_struct().alias("at"),
+        layout.record_struct().alias("rec"),
+    )
+    return (
+        marked.groupBy(
+            *layout.keys, window.alias("_w"), F.floor(offset * slices / size_ms).alias("slice")
+        )
+        .agg(F.collect_list(item).alias("items"))
+        .select(
+            *layout.keys,
+            F.unix_millis("_w.start").alias("w_start"),
+            F.unix_millis("_w.end").alias("w_end"),
+            "slice",
+            F.lit(0).cast("long").alias("part"),
+            F.lit(0).alias("pane"),
+            F.lit("final").alias("kind"),
+            "items",
+        )
+    )
+
+
+def ingestion_time_stream(
+    rows: DataFrame, layout: Layout, config: JobConfig, ts: str, delay_ms: int = 0, slices: int = 1
+) -> DataFrame:
+    """Windows of ingestion time `ts`, a timestamp column such as
+    `stamp_ingestion` adds; records in arrival order, copies kept.
+
+    A time given by producers can be out of order between topic partitions and
+    then needs a delay, or rows behind the largest time seen are dropped.
+    """
+    lists = _built_in(rows, layout, ts, delay_ms, config.window_ms, slices)
+    in_order = F.array_sort(F.transform("items", lambda x: F.struct(x["at"], x["rec"])))
+    return lists.withColumn("companies", F.transform(in_order, lambda x: x["rec"])).drop("items")
+
+
+def fast_event_time_stream(
+    rows: DataFrame, layout: Layout, config: JobConfig, slices: int = 1
+) -> DataFrame:
+    """Event-time windows without Python state, for when late rows need not be
+    kept: one final list per window, `window delay + lateness` behind."""
+    stamped = rows.withColumn("event_ts", event_timestamp(layout.event_ms))
+    delay = config.watermark_delay_ms + config.lateness_ms
+    lists = _built_in(stamped, layout, "event_ts", delay, config.window_ms, slices)
+    # Copies sit beside each other once sorted by time and record.
+    grouped = F.array_sort(
+        F.transform("items", lambda x: F.struct(x["ms"], x["rec"], x["at"]))
+    )
+    kept = F.filter(
+        grouped,
+        lambda x, i: (i == 0) | ~x["rec"].eqNullSafe(F.get(grouped, i - 1)["rec"]),
+    )
+    ordered = F.array_sort(F.transform(kept, lambda x: F.struct(x["ms"], x["at"], x["rec"])))
+    return lists.withColumn("companies", F.transform(ordered, lambda x: x["rec"])).drop("items")
+
+
+def stream_event_windows(
+    rows: DataFrame, layout: Layout, config: JobConfig, folder: str
+) -> DataFrame:
+    """Run the event-time job over what the source holds now; its result table."""
+    spark = prepare(rows.sparkSession)
+    out = count_late(event_time_stream(rows, layout, config))
+    query = start_table(out, f"{folder}/results", f"{folder}/checkpoint", once=True)
+    query.awaitTermination()
+    return read_table(spark, f"{folder}/results", out.schema)
+
+
+def stream_ingestion_windows(
+    rows: DataFrame, layout: Layout, config: JobConfig, folder: str
+) -> DataFrame:
+    """Run the ingestion-time job over what the source holds now, taking the
+    arrival clock as the ingestion time."""
+    spark = prepare(rows.sparkSession)
+    stamped = rows.withColumn("ingest_ts", event_timestamp(layout.arrival[0]))
+    out = ingestion_time_stream(
+        stamped, layout, config, "ingest_ts", config.watermark_delay_ms
+    )
+    query = start_table(out, f"{folder}/results", f"{folder}/checkpoint", once=True)
+    query.awaitTermination()
+    return read_table(spark, f"{folder}/results", out.schema)

@@ -359,7 +359,8 @@ def stream_ingestion_results(spark, sf_dir):
 
 def _stream(spark, sf_dir, run):
     table = utc(spark).read.parquet(f"{sf_dir}/events.parquet")
-    source = spark.readStream.schema(table.schema).parquet(f"{sf_dir}/events.parquet")
+    # A pattern, since the table may be a folder or a single file.
+    source = spark.readStream.schema(table.schema).parquet(f"{sf_dir}/events.parque[t]")
     rows = source.select(
         "event_id", "user_id", "event_type", "value", "props", event_millis("ts").alias("ms")
     )
