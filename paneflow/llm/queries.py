@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneflow.llm import exact_dedup, mixing, url_filter, warc
+from paneflow.llm import exact_dedup, mixing, pii, url_filter, warc
 from paneflow.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,22 @@ def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.tag(read_table(spark, sf_dir, "documents"))
+    spans = F.col("pii")
+    counts = [
+        F.size(pii.of_kinds(spans, [kind])).cast("long").alias(f"n_{kind}")
+        for kind in pii.BASE_KINDS
+    ]
+    base = pii.joined(pii.of_kinds(spans, pii.BASE_KINDS))
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(base, 256).alias("base_sha256"),
+        pii.joined(spans).alias("spans"),
+    )
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     dealt = mixing.deal(mixing.plan_mix(docs))
@@ -55,6 +71,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_warc_revisits": op1_warc_revisits,
+    "op5_pii": op5_pii,
     "op7_mixing": op7_mixing,
     "op9_url_filter": op9_url_filter,
     "op10_exact_dedup": op10_exact_dedup,
