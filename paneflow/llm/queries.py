@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneflow.llm import exact_dedup, mixing, pii, url_filter, warc
+from paneflow.llm import exact_dedup, mixing, pii, toxicity, url_filter, warc
 from paneflow.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,22 @@ def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _remainder(column: str, divisor: int) -> Column:
+    return F.crc32(F.col(column).cast("string")) % divisor
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    labels = read_table(spark, sf_dir, "labels").filter(_remainder("doc_id", 5) != 0)
+    scored = toxicity.score(docs, toxicity.train(docs, labels))
+    return scored.select(
+        "doc_id",
+        F.coalesce(_remainder("doc_id", 5) == 0, F.lit(True)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.tag(read_table(spark, sf_dir, "documents"))
     spans = F.col("pii")
@@ -71,6 +87,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_warc_revisits": op1_warc_revisits,
+    "op3_toxicity": op3_toxicity,
     "op5_pii": op5_pii,
     "op7_mixing": op7_mixing,
     "op9_url_filter": op9_url_filter,

@@ -36,12 +36,13 @@ ORDERS = (3, 4, 5)
 BUCKETS = 1 << 20
 TRAIN_DOCS = 12_000
 LEAST_DOCS = 4
-LEAST_RATIO = 1.0
+LEAST_RATIO = 1.5
 SMOOTHING = 0.5
-L2 = 1e-3
-STEPS = 400
+L2 = 10.0
+STEPS = 200
 SLICE = 1 << 20
 SLICES = 32
+SAMPLE_TASKS = 16
 # Odd multipliers of the polynomial hash.
 _MULTIPLIERS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
@@ -110,16 +111,18 @@ def labelled_sample(
     docs: DataFrame, labels: DataFrame, id_col: str, text: str, label: str, most: int
 ) -> DataFrame:
     """`toxic` and `text` of at most `most` labelled documents. The ids of the sample are
-    few and bounded, so they are broadcast to the documents."""
+    few and bounded, so they are broadcast to the documents; the sample itself is small
+    enough for a few tasks, each of which sends one table of counts."""
     known = (
         labels.filter(F.col(label).isNotNull() & F.col(id_col).isNotNull())
         .groupBy(F.col(id_col).alias("_id"))
         .agg(F.max(label).cast("int").alias("toxic"))
     )
     chosen = known.orderBy(F.xxhash64("_id"), "_id").limit(most)
-    return docs.select(F.col(id_col).alias("_id"), text_or_empty(text).alias("text")).join(
+    found = docs.select(F.col(id_col).alias("_id"), text_or_empty(text).alias("text")).join(
         F.broadcast(chosen), "_id"
     )
+    return found.repartition(SAMPLE_TASKS, "_id")
 
 
 def log_ratios(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
@@ -202,16 +205,13 @@ def sample_features(sample: DataFrame, ratio: np.ndarray) -> tuple[np.ndarray, n
 def fit_logistic(
     at: np.ndarray, columns: np.ndarray, values: np.ndarray, y: np.ndarray, n_columns: int
 ) -> tuple[np.ndarray, float]:
-    """L2-regularised logistic regression on sparse rows, by accelerated gradient steps."""
+    """L2-regularised logistic regression on sparse rows, by gradient steps with
+    running moments."""
     n = len(y)
-    size = np.bincount(at, weights=values**2, minlength=n)
-    step = 1.0 / (0.25 * (size.max(initial=0.0) + 1.0) + L2)
-    # A safe step follows the longest row; the mean row allows a larger one.
-    step = max(step, 1.0 / (0.25 * (8 * size.mean() + 1.0) + L2))
     w = np.zeros(n_columns)
     bias = float(np.log((y.sum() + 0.5) / (n - y.sum() + 0.5)))
     mean_w, moment_w, mean_b, moment_b = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
-    rate = min(0.05, 50 * step)
+    rate = 0.05
     for i in range(1, STEPS + 1):
         margin = np.bincount(at, weights=values * w[columns], minlength=n) + bias
         error = (_logistic(margin) - y) / n
