@@ -4,10 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneflow.llm import exact_dedup, mixing, pii, toxicity, url_filter, warc
+from paneflow.llm import (
+    exact_dedup,
+    mixing,
+    pii,
+    sentencepiece_codec,
+    toxicity,
+    url_filter,
+    warc,
+)
 from paneflow.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +41,21 @@ def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def piece_model() -> bytes:
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+        return file.read()
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = sentencepiece_codec.encode(read_table(spark, sf_dir, "documents"), piece_model())
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+    )
+
+
 def _remainder(column: str, divisor: int) -> Column:
     return F.crc32(F.col(column).cast("string")) % divisor
 
@@ -87,6 +111,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_warc_revisits": op1_warc_revisits,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_toxicity": op3_toxicity,
     "op5_pii": op5_pii,
     "op7_mixing": op7_mixing,
