@@ -87,8 +87,28 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id,
 FROM d
 """
 
+OP6 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND list_sum(list_transform(embedding,
+    lambda x: CASE WHEN x IS NULL OR NOT isfinite(x) THEN 1 ELSE 0 END)) = 0
+    AND list_sum(list_transform(embedding, lambda x: abs(x::DOUBLE))) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach(a, b) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n.n_links, 0)::BIGINT AS n_links, c.component_id,
+       e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN c ON c.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id
+"""
+
 ORACLES = {
     "op1_warc_revisits": OP1,
+    "op6_embedding_dedup": OP6,
     "op7_mixing": OP7,
     "op9_url_filter": OP9,
     "op10_exact_dedup": OP10,

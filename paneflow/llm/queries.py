@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paneflow.llm import (
+    embedding_dedup,
     exact_dedup,
     mixing,
     pii,
@@ -88,6 +89,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     dealt = mixing.deal(mixing.plan_mix(docs))
@@ -114,6 +119,7 @@ QUERIES: dict[str, Query] = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_toxicity": op3_toxicity,
     "op5_pii": op5_pii,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op7_mixing": op7_mixing,
     "op9_url_filter": op9_url_filter,
     "op10_exact_dedup": op10_exact_dedup,
