@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,3 +46,16 @@ def text_blocks(n_bytes: int, block_bytes: int, least: int = 1) -> int:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def pack(table: pa.Table) -> bytes:
+    """A table as one compressed value, to travel as a single row."""
+    sink = pa.BufferOutputStream()
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    with pa.ipc.new_stream(sink, table.schema, options=options) as writer:
+        writer.write_table(table.combine_chunks())
+    return sink.getvalue().to_pybytes()
+
+
+def unpack(value: bytes) -> pa.Table:
+    return pa.ipc.open_stream(value).read_all()

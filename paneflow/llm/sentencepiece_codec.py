@@ -5,7 +5,7 @@ has a marker after another character. So no piece and no merge reaches over the
 a marker run, and a text's ids are those of its marked words (marker run and what follows)
 one after the other. `check_model` makes sure that a model is of that kind.
 
-1. The table is read in blocks of about `BLOCK_CHARS` characters. Each block gives its
+1. The table is read in blocks of about `BLOCK_BYTES`. Each block gives its
    distinct marked words, dealt to buckets by a hash of the word.
 2. A bucket gathers the words of all blocks; each distinct word is segmented, and its ids
    decoded, once. The results go back to the blocks that asked.
@@ -36,10 +36,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paneflow.llm.common import text_blocks, text_or_empty, total_bytes
+from paneflow.llm.common import pack, text_blocks, text_or_empty, total_bytes, unpack
 
 MARKER = "▁"
-BLOCK_CHARS = 12_000_000
+BLOCK_BYTES = 24_000_000
 # Text per bucket of the word table.
 BUCKET_BYTES = 48 << 20
 
@@ -86,7 +86,7 @@ def segment(own: sentencepiece.SentencePieceProcessor, words: list[str]) -> tupl
 
 
 def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, list[pa.RecordBatch]]]:
-    """Number the blocks of a task; a block is a run of rows of about BLOCK_CHARS."""
+    """Number the blocks of a task; a block is a run of rows of about BLOCK_BYTES."""
     part = TaskContext.get().partitionId()
     held, size, number = [], 0, 0
     for batch in batches:
@@ -96,7 +96,7 @@ def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, list[pa.Re
         start = 0
         for i, length in enumerate(lengths):
             size += int(length)
-            if size >= BLOCK_CHARS:
+            if size >= BLOCK_BYTES:
                 held.append(batch.slice(start, i + 1 - start))
                 yield (part << 32) | number, held
                 held, size, number, start = [], 0, number + 1, i + 1
@@ -108,7 +108,8 @@ def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, list[pa.Re
 
 def word_table(texts: DataFrame, model: bytes, buckets: int) -> DataFrame:
     """For every block its distinct marked words with their ids and, where it differs from
-    the word, the decoded form: one row per block and bucket."""
+    the word, the decoded form: one packed row per block and bucket. Words are sorted,
+    which lets them pack to a few bytes each."""
     shared = texts.sparkSession.sparkContext.broadcast(model)
 
     def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,56 +125,44 @@ def word_table(texts: DataFrame, model: bytes, buckets: int) -> DataFrame:
                 if own:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([block]), pa.array([bucket], pa.int32()),
-                         pa.array([own], pa.list_(pa.string()))],
+                         pa.array([pack(pa.table({"words": sorted(own)}))], pa.binary())],
                         ["block", "bucket", "words"],
                     )
 
     def segmented(asked: pa.Table) -> pa.Table:
         own = load(shared.value)
-        distinct = list({w for batch in asked.column("words") for w in batch.as_py()})
+        lists = [unpack(w.as_py()).column("words").to_pylist() for w in asked.column("words")]
+        distinct = sorted({w for words in lists for w in words})
         encoded, changed = segment(own, distinct)
         ids = dict(zip(distinct, encoded))
-        out: dict[str, list] = {"words": [], "ids": [], "odd": [], "decoded": []}
-        for row in asked.column("words"):
-            words = row.as_py()
-            odd = [w for w in words if w in changed] if changed else []
-            out["words"].append(words)
-            out["ids"].append([ids[w] for w in words])
-            out["odd"].append(odd)
-            out["decoded"].append([changed[w] for w in odd])
-        strings = pa.list_(pa.string())
-        return pa.table(
-            {
-                "block": asked.column("block"),
-                "words": pa.array(out["words"], strings),
-                "ids": pa.array(out["ids"], pa.list_(pa.binary())),
-                "odd": pa.array(out["odd"], strings),
-                "decoded": pa.array(out["decoded"], strings),
-            }
-        )
+        answers = [
+            pack(
+                pa.table(
+                    {
+                        "words": pa.array(words, pa.string()),
+                        "ids": pa.array([ids[w] for w in words], pa.binary()),
+                        "decoded": pa.array([changed.get(w) for w in words], pa.string()),
+                    }
+                )
+            )
+            for words in lists
+        ]
+        return pa.table({"block": asked.column("block"), "table": pa.array(answers, pa.binary())})
 
-    words = texts.mapInArrow(distinct_words, "block long, bucket int, words array<string>")
-    return words.groupBy("bucket").applyInArrow(
-        segmented,
-        "block long, words array<string>, ids array<binary>, odd array<string>, "
-        "decoded array<string>",
-    )
+    words = texts.mapInArrow(distinct_words, "block long, bucket int, words binary")
+    return words.groupBy("bucket").applyInArrow(segmented, "block long, table binary")
 
 
 def packed_blocks(texts: DataFrame) -> DataFrame:
     """The texts and ids of each block as one compressed value."""
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        options = pa.ipc.IpcWriteOptions(compression="zstd")
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, rows in _blocks(batches):
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, rows[0].schema, options=options) as writer:
-                writer.write_table(pa.Table.from_batches(rows).combine_chunks())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block]), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+                [pa.array([block]), pa.array([pack(pa.Table.from_batches(rows))], pa.binary())],
                 ["block", "packed"],
             )
 
-    return texts.mapInArrow(pack, "block long, packed binary")
+    return texts.mapInArrow(packed, "block long, packed binary")
 
 
 def encode(
@@ -196,11 +185,14 @@ def encode(
         closing = np.array([own.eos_id()] if end else [], dtype="<i4").tobytes()
         ids: dict[str, bytes] = {}
         odd: dict[str, str] = {}
-        for name, value, into in (("words", "ids", ids), ("odd", "decoded", odd)):
-            for keys, values in zip(table.column(name), table.column(value)):
-                into.update(zip(keys.as_py(), values.as_py()))
+        for part in table.column("table"):
+            own_part = unpack(part.as_py())
+            ids.update(zip(own_part.column("words").to_pylist(), own_part.column("ids").to_pylist()))
+            if own_part.column("decoded").null_count < own_part.num_rows:
+                pairs = zip(own_part.column("words").to_pylist(), own_part.column("decoded").to_pylist())
+                odd.update((w, d) for w, d in pairs if d is not None)
         for packed in blocks.column("packed"):
-            for batch in pa.ipc.open_stream(packed.as_py()).read_all().to_batches(2000):
+            for batch in unpack(packed.as_py()).to_batches(2000):
                 yield _joined(batch, ids, odd, closing, own)
 
     def _joined(batch, ids, odd, closing, own) -> pa.RecordBatch:

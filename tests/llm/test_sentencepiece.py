@@ -19,7 +19,7 @@ def model():
 
 
 def test_null_odd_repeated_and_extra_columns(spark, model, monkeypatch):
-    monkeypatch.setattr(codec, "BLOCK_CHARS", 300)
+    monkeypatch.setattr(codec, "BLOCK_BYTES", 300)
     rng = random.Random(3)
     alphabet = ["a", "b", " ", "  ", "▁", "é", "漢", "\n", "the", "ing ", "\U0001f600"]
     texts = ODD + ["".join(rng.choice(alphabet) for _ in range(rng.randrange(60))) for _ in range(300)]
