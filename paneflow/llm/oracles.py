@@ -106,10 +106,36 @@ SELECT e.vec_id, coalesce(n.n_links, 0)::BIGINT AS n_links, c.component_id,
 FROM embeddings e JOIN c ON c.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id
 """
 
+OP8 = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'),
+         '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), g AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN []
+    WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 1),
+      lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) END) AS shingles
+  FROM w
+), t AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS s FROM g),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM t a JOIN t b ON a.s = b.s AND a.doc_id <> b.doc_id AND 100 * a.n >= 90 * b.n AND 100 * b.n >= 90 * a.n
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), reach(a, b) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT g.doc_id, len(g.shingles)::BIGINT AS n_shingles, c.component_id
+FROM g JOIN c ON c.a = g.doc_id
+"""
+
 ORACLES = {
     "op1_warc_revisits": OP1,
     "op6_embedding_dedup": OP6,
     "op7_mixing": OP7,
+    "op8_ngram_join": OP8,
     "op9_url_filter": OP9,
     "op10_exact_dedup": OP10,
 }

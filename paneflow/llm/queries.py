@@ -12,6 +12,7 @@ from paneflow.llm import (
     embedding_dedup,
     exact_dedup,
     mixing,
+    ngram_join,
     pii,
     sentencepiece_codec,
     toxicity,
@@ -105,6 +106,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -121,6 +126,7 @@ QUERIES: dict[str, Query] = {
     "op5_pii": op5_pii,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_mixing": op7_mixing,
+    "op8_ngram_join": op8_ngram_join,
     "op9_url_filter": op9_url_filter,
     "op10_exact_dedup": op10_exact_dedup,
 }
