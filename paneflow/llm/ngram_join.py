@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from paneflow.llm.common import text_blocks, text_or_empty, total_bytes, written
 from paneflow.llm.components import connected_components
+from paneflow.operators.skew import broadcast_if_small
 
 WORDS = 3
 # Two sets link when 100 * intersection >= PERCENT * union.
@@ -216,7 +217,8 @@ def signatures(prefix: Column, n: Column, percent: int) -> Column:
             often,
             lambda t, i: F.transform(
                 F.slice(often, i + 2, F.greatest(F.size(often) - i - 1, F.lit(0))),
-                lambda s: F.xxhash64(t, s),
+                # Negative, apart from single tokens.
+                lambda s: F.xxhash64(t, s).bitwiseOR(F.lit(-(1 << 63))),
             ),
         )
     )
@@ -228,6 +230,11 @@ def signatures(prefix: Column, n: Column, percent: int) -> Column:
     )
 
 
+def _sizes_allow(a: str, b: str, percent: int) -> Column:
+    na, nb = F.col(f"{a}_n"), F.col(f"{b}_n")
+    return (na * percent <= nb * 100) & (nb * percent <= na * 100)
+
+
 def _may_link(a: str, b: str, percent: int) -> Column:
     """Whether sizes and prefixes of two sets allow a link: a token of one prefix that is
     not in the other, though the other's prefix reaches beyond it, is in one set only."""
@@ -239,8 +246,7 @@ def _may_link(a: str, b: str, percent: int) -> Column:
         beyond = F.filter(F.array_except(own, other), lambda t: t <= F.element_at(other, -1))
         return F.size(beyond) <= size - need
 
-    sizes = (na * percent <= nb * 100) & (nb * percent <= na * 100)
-    return sizes & only(pa_, pb, na) & only(pb, pa_, nb)
+    return _sizes_allow(a, b, percent) & only(pa_, pb, na) & only(pb, pa_, nb)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int, n: int) -> DataFrame:
@@ -268,14 +274,35 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int, n: int) -> DataFr
     return both.mapInArrow(verify, "a long, b long")
 
 
+def _sized(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Distinct `a`, `b` whose sizes allow a link; only sizes are joined."""
+    a = reps.select(F.col("node").alias("a"), F.col("n").alias("a_n"))
+    b = reps.select(F.col("node").alias("b"), F.col("n").alias("b_n"))
+    joined = pairs.distinct().join(a, "a").join(b, "b")
+    return joined.filter(_sizes_allow("a", "b", percent))
+
+
 def _paired(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Distinct `a`, `b` that sizes and prefixes do not rule out."""
-    a = reps.select(F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("prefix").alias("a_prefix"))
-    b = reps.select(F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("prefix").alias("b_prefix"))
-    joined = pairs.distinct().join(a, "a").join(b, "b")
+    a = reps.select(F.col("node").alias("a"), F.col("prefix").alias("a_prefix"))
+    b = reps.select(F.col("node").alias("b"), F.col("prefix").alias("b_prefix"))
+    joined = _sized(pairs, reps, percent).join(a, "a").join(b, "b")
     return joined.filter(_may_link("a", "b", percent)).select("a", "b")
 
 
+def _verified_among(pairs: DataFrame, texts: DataFrame, percent: int, n: int) -> DataFrame:
+    """`verified`, having first fetched the texts of the documents in the pairs. Their ids
+    are broadcast if there are few enough, else both sides are shuffled."""
+    pairs = written(pairs, "pairs")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    nodes = written(nodes, "nodes")
+    asked = broadcast_if_small(nodes, nodes.count())
+    own = texts.join(asked, "id", "left_semi").select(
+        F.col("id").alias("node"), F.col("_text").alias("text")
+    )
+    return written(verified(pairs, written(own, "texts"), percent, n), "links")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -314,17 +341,12 @@ def _links(reps: DataFrame, texts: DataFrame, percent: int, n: int) -> DataFrame
         F.min("node").alias("first"), F.max("node").alias("last")
     )
     shared = written(postings.join(entries.filter("first < last"), "entry"), "postings")
-    nodes = shared.select(F.col("node").alias("id")).distinct()
-    own_texts = written(
-        texts.join(nodes, "id", "left_semi").select(F.col("id").alias("node"), F.col("_text").alias("text")),
-        "texts",
-    )
     to_pivots = shared.select(
         "node", F.explode(F.array("first", "last")).alias("pivot")
     ).filter("node <> pivot").select(
         F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")
     )
-    near = written(verified(_paired(to_pivots, reps, percent), own_texts, percent, n), "links")
+    near = _verified_among(_paired(to_pivots, reps, percent), texts, percent, n)
     parts = written(connected_components(near), "components")
     placed = shared.select("entry", "node").join(parts, "node", "left").select(
         "entry", "node", F.coalesce("component", "node").alias("component")
@@ -332,18 +354,26 @@ def _links(reps: DataFrame, texts: DataFrame, percent: int, n: int) -> DataFrame
     open_entries = placed.groupBy("entry").agg(
         F.min("component").alias("_low"), F.max("component").alias("_high")
     ).filter("_low < _high").select("entry")
+    # Where an entry may be long, its pairs are tested inside the join already.
+    long_entry = (F.col("entry") < 0) | (F.col("entry") >= _FREQUENT)
     live = written(
-        placed.join(open_entries, "entry", "left_semi").join(reps.select("node", "n", "prefix"), "node"),
+        placed.join(open_entries, "entry", "left_semi")
+        .join(reps.select("node", "n", "prefix"), "node")
+        .withColumn("prefix", F.when(long_entry, F.col("prefix"))),
         "open",
     )
     a = live.select("entry", *[F.col(c).alias(f"a_{c}") for c in ("node", "component", "n", "prefix")])
-    b = live.select("entry", *[F.col(c).alias(f"b_{c}") for c in ("node", "component", "n", "prefix")])
+    b = live.select(
+        F.col("entry").alias("_entry"),
+        *[F.col(c).alias(f"b_{c}") for c in ("node", "component", "n", "prefix")],
+    )
     across = a.join(
-        b.withColumnRenamed("entry", "_entry"),
+        b,
         (F.col("entry") == F.col("_entry"))
         & (F.col("a_node") > F.col("b_node"))
         & (F.col("a_component") != F.col("b_component"))
-        & _may_link("a", "b", percent),
-    ).select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct()
-    far = written(verified(across, own_texts, percent, n), "links")
+        & _sizes_allow("a", "b", percent)
+        & (F.col("a_prefix").isNull() | _may_link("a", "b", percent)),
+    ).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+    far = _verified_among(_paired(across, reps, percent), texts, percent, n)
     return near.unionByName(far)
