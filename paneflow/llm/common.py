@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,3 +64,39 @@ def pack(table: pa.Table) -> bytes:
 
 def unpack(value: bytes) -> pa.Table:
     return pa.ipc.open_stream(value).read_all()
+
+
+def numbered_blocks(
+    batches: Iterable[pa.RecordBatch], block_bytes: int
+) -> Iterator[tuple[int, list[pa.RecordBatch]]]:
+    """Number the blocks of a task; a block is a run of rows whose second column, a text,
+    has about `block_bytes`."""
+    part = TaskContext.get().partitionId()
+    held, size, number = [], 0, 0
+    for batch in batches:
+        lengths = np.asarray(
+            pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False)
+        )
+        start = 0
+        for i, length in enumerate(lengths):
+            size += int(length)
+            if size >= block_bytes:
+                held.append(batch.slice(start, i + 1 - start))
+                yield (part << 32) | number, held
+                held, size, number, start = [], 0, number + 1, i + 1
+        if start < batch.num_rows:
+            held.append(batch.slice(start))
+    if held:
+        yield (part << 32) | number, held
+
+
+def packed_blocks(texts: DataFrame, block_bytes: int) -> DataFrame:
+    """`block` and `packed`: the rows of each block as one compressed value."""
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, rows in numbered_blocks(batches, block_bytes):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block]), pa.array([pack(pa.Table.from_batches(rows))], pa.binary())],
+                ["block", "packed"],
+            )
+
+    return texts.mapInArrow(packed, "block long, packed binary")

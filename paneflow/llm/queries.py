@@ -14,6 +14,7 @@ from paneflow.llm import (
     mixing,
     ngram_join,
     pii,
+    pitman_yor,
     sentencepiece_codec,
     toxicity,
     url_filter,
@@ -74,6 +75,20 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    scored = pitman_yor.score_texts(docs, _remainder("doc_id", 7) != 2)
+    return scored.select(
+        "doc_id",
+        (~F.col("learnt")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.tag(read_table(spark, sf_dir, "documents"))
     spans = F.col("pii")
@@ -123,6 +138,7 @@ QUERIES: dict[str, Query] = {
     "op1_warc_revisits": op1_warc_revisits,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_toxicity": op3_toxicity,
+    "op4_pitman_yor": op4_pitman_yor,
     "op5_pii": op5_pii,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_mixing": op7_mixing,

@@ -26,17 +26,23 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import sentencepiece
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paneflow.llm.common import pack, text_blocks, text_or_empty, total_bytes, unpack
+from paneflow.llm.common import (
+    numbered_blocks,
+    pack,
+    packed_blocks,
+    text_blocks,
+    text_or_empty,
+    total_bytes,
+    unpack,
+)
 
 MARKER = "▁"
 BLOCK_BYTES = 24_000_000
@@ -85,27 +91,6 @@ def segment(own: sentencepiece.SentencePieceProcessor, words: list[str]) -> tupl
     return [np.array(i, dtype="<i4").tobytes() for i in ids], changed
 
 
-def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, list[pa.RecordBatch]]]:
-    """Number the blocks of a task; a block is a run of rows of about BLOCK_BYTES."""
-    part = TaskContext.get().partitionId()
-    held, size, number = [], 0, 0
-    for batch in batches:
-        lengths = np.asarray(
-            pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False)
-        )
-        start = 0
-        for i, length in enumerate(lengths):
-            size += int(length)
-            if size >= BLOCK_BYTES:
-                held.append(batch.slice(start, i + 1 - start))
-                yield (part << 32) | number, held
-                held, size, number, start = [], 0, number + 1, i + 1
-        if start < batch.num_rows:
-            held.append(batch.slice(start))
-    if held:
-        yield (part << 32) | number, held
-
-
 def word_table(texts: DataFrame, model: bytes, buckets: int) -> DataFrame:
     """For every block its distinct marked words with their ids and, where it differs from
     the word, the decoded form: one packed row per block and bucket. Words are sorted,
@@ -113,7 +98,7 @@ def word_table(texts: DataFrame, model: bytes, buckets: int) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(model)
 
     def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, rows in _blocks(batches):
+        for block, rows in numbered_blocks(batches, BLOCK_BYTES):
             words: set[str] = set()
             for batch in rows:
                 for text in batch.column(1).to_pylist():
@@ -153,18 +138,6 @@ def word_table(texts: DataFrame, model: bytes, buckets: int) -> DataFrame:
     return words.groupBy("bucket").applyInArrow(segmented, "block long, table binary")
 
 
-def packed_blocks(texts: DataFrame) -> DataFrame:
-    """The texts and ids of each block as one compressed value."""
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, rows in _blocks(batches):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block]), pa.array([pack(pa.Table.from_batches(rows))], pa.binary())],
-                ["block", "packed"],
-            )
-
-    return texts.mapInArrow(packed, "block long, packed binary")
-
-
 def encode(
     docs: DataFrame,
     model: bytes,
@@ -224,6 +197,6 @@ def encode(
 
     table = word_table(texts, model, buckets)
     return (
-        packed_blocks(texts).groupBy("block").cogroup(table.groupBy("block"))
+        packed_blocks(texts, BLOCK_BYTES).groupBy("block").cogroup(table.groupBy("block"))
         .applyInArrow(whole, f"`{id_col}` {id_type}, ids array<int>, decoded string")
     )
