@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,7 +57,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def pack(table: pa.Table) -> bytes:
     """A table as one compressed value, to travel as a single row."""
     sink = pa.BufferOutputStream()
-    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))
     with pa.ipc.new_stream(sink, table.schema, options=options) as writer:
         writer.write_table(table.combine_chunks())
     return sink.getvalue().to_pybytes()
@@ -66,6 +67,20 @@ def unpack(value: bytes) -> pa.Table:
     return pa.ipc.open_stream(value).read_all()
 
 
+def pack_strings(strings: list[bytes]) -> bytes:
+    """Byte strings as one compressed value; sorted ones take a few bytes each."""
+    lengths = np.array([len(strings), *map(len, strings)], dtype="<u4").tobytes()
+    return zstandard.ZstdCompressor(level=6).compress(lengths + b"".join(strings))
+
+
+def unpack_strings(value: bytes) -> list[bytes]:
+    raw = zstandard.ZstdDecompressor().decompress(value)
+    n = int(np.frombuffer(raw, "<u4", 1)[0])
+    ends = np.cumsum(np.frombuffer(raw, "<u4", n + 1)[1:]) + 4 * (n + 1)
+    starts = [4 * (n + 1), *ends[:-1].tolist()]
+    return [raw[a:b] for a, b in zip(starts, ends.tolist())]
+
+
 def numbered_blocks(
     batches: Iterable[pa.RecordBatch], block_bytes: int
 ) -> Iterator[tuple[int, list[pa.RecordBatch]]]:

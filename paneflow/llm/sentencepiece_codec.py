@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,12 +36,13 @@ from pyspark.sql import functions as F
 
 from paneflow.llm.common import (
     numbered_blocks,
-    pack,
+    pack_strings,
     packed_blocks,
     text_blocks,
     text_or_empty,
     total_bytes,
     unpack,
+    unpack_strings,
 )
 
 MARKER = "▁"
@@ -91,51 +92,65 @@ def segment(own: sentencepiece.SentencePieceProcessor, words: list[str]) -> tupl
     return [np.array(i, dtype="<i4").tobytes() for i in ids], changed
 
 
+def dealt_words(texts: Iterable[str], buckets: int) -> list[list[bytes]]:
+    """The distinct marked words of texts by bucket, sorted."""
+    words: set[str] = set()
+    for text in texts:
+        words.update(marked_words(text))
+    dealt: list[list[bytes]] = [[] for _ in range(buckets)]
+    for word in words:
+        raw = word.encode()
+        dealt[zlib.crc32(raw) % buckets].append(raw)
+    for own in dealt:
+        own.sort()
+    return dealt
+
+
 def word_table(texts: DataFrame, model: bytes, buckets: int) -> DataFrame:
-    """For every block its distinct marked words with their ids and, where it differs from
-    the word, the decoded form: one packed row per block and bucket. Words are sorted,
-    which lets them pack to a few bytes each."""
+    """For every block and bucket the ids of the block's distinct marked words, in the
+    order of `dealt_words`, with the decoded form of words that decode to another. The
+    words themselves do not travel back: the block knows them, and `check` tells whether
+    they are the same."""
     shared = texts.sparkSession.sparkContext.broadcast(model)
 
     def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, rows in numbered_blocks(batches, BLOCK_BYTES):
-            words: set[str] = set()
-            for batch in rows:
-                for text in batch.column(1).to_pylist():
-                    words.update(marked_words(text))
-            dealt: list[list[str]] = [[] for _ in range(buckets)]
-            for word in words:
-                dealt[zlib.crc32(word.encode()) % buckets].append(word)
-            for bucket, own in enumerate(dealt):
+            found = (t for batch in rows for t in batch.column(1).to_pylist())
+            for bucket, own in enumerate(dealt_words(found, buckets)):
                 if own:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([block]), pa.array([bucket], pa.int32()),
-                         pa.array([pack(pa.table({"words": sorted(own)}))], pa.binary())],
+                         pa.array([pack_strings(own)], pa.binary())],
                         ["block", "bucket", "words"],
                     )
 
     def segmented(asked: pa.Table) -> pa.Table:
         own = load(shared.value)
-        lists = [unpack(w.as_py()).column("words").to_pylist() for w in asked.column("words")]
+        lists = [unpack_strings(w.as_py()) for w in asked.column("words")]
         distinct = sorted({w for words in lists for w in words})
-        encoded, changed = segment(own, distinct)
+        encoded, changed = segment(own, [w.decode() for w in distinct])
         ids = dict(zip(distinct, encoded))
-        answers = [
-            pack(
-                pa.table(
-                    {
-                        "words": pa.array(words, pa.string()),
-                        "ids": pa.array([ids[w] for w in words], pa.binary()),
-                        "decoded": pa.array([changed.get(w) for w in words], pa.string()),
-                    }
-                )
-            )
-            for words in lists
-        ]
-        return pa.table({"block": asked.column("block"), "table": pa.array(answers, pa.binary())})
+        changed = {w.encode(): d.encode() for w, d in changed.items()}
+        out: dict[str, list] = {"ids": [], "odd": [], "check": []}
+        for words in lists:
+            out["ids"].append(pack_strings([ids[w] for w in words]))
+            odd = [w for w in words if w in changed]
+            out["odd"].append(pack_strings([x for w in odd for x in (w, changed[w])]))
+            out["check"].append(zlib.crc32(b" ".join(words)))
+        return pa.table(
+            {
+                "block": asked.column("block"),
+                "bucket": asked.column("bucket"),
+                "ids": pa.array(out["ids"], pa.binary()),
+                "odd": pa.array(out["odd"], pa.binary()),
+                "check": pa.array(out["check"], pa.int64()),
+            }
+        )
 
     words = texts.mapInArrow(distinct_words, "block long, bucket int, words binary")
-    return words.groupBy("bucket").applyInArrow(segmented, "block long, table binary")
+    return words.groupBy("bucket").applyInArrow(
+        segmented, "block long, bucket int, ids binary, odd binary, check long"
+    )
 
 
 def encode(
@@ -158,14 +173,17 @@ def encode(
         closing = np.array([own.eos_id()] if end else [], dtype="<i4").tobytes()
         ids: dict[str, bytes] = {}
         odd: dict[str, str] = {}
-        for part in table.column("table"):
-            own_part = unpack(part.as_py())
-            ids.update(zip(own_part.column("words").to_pylist(), own_part.column("ids").to_pylist()))
-            if own_part.column("decoded").null_count < own_part.num_rows:
-                pairs = zip(own_part.column("words").to_pylist(), own_part.column("decoded").to_pylist())
-                odd.update((w, d) for w, d in pairs if d is not None)
-        for packed in blocks.column("packed"):
-            for batch in unpack(packed.as_py()).to_batches(2000):
+        texts = [unpack(packed.as_py()) for packed in blocks.column("packed")]
+        dealt = dealt_words((t for part in texts for t in part.column(1).to_pylist()), buckets)
+        for row in table.select(["bucket", "ids", "odd", "check"]).to_pylist():
+            words = dealt[row["bucket"]]
+            if row["check"] == zlib.crc32(b" ".join(words)):
+                ids.update(zip((w.decode() for w in words), unpack_strings(row["ids"])))
+                changed = [x.decode() for x in unpack_strings(row["odd"])]
+                odd.update(zip(changed[::2], changed[1::2]))
+        del dealt
+        for part in texts:
+            for batch in part.to_batches(2000):
                 yield _joined(batch, ids, odd, closing, own)
 
     def _joined(batch, ids, odd, closing, own) -> pa.RecordBatch:
