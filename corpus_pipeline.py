@@ -1,15 +1,30 @@
-"""The corpus pipeline: operators of `paneflow.llm` as stages over `documents`."""
+"""The corpus pipeline: five operators of `paneflow.llm` as stages over `documents`.
+
+Every stage takes what its predecessor kept, and its result is written to the folder that
+all executors share before the next one reads it.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from paneflow.llm import exact_dedup, mixing
+from paneflow.llm import exact_dedup, mixing, ngram_join, sentencepiece_codec, toxicity
 from paneflow.llm.common import read_table, written
+from paneflow.llm.queries import piece_model
+from paneflow.operators.skew import broadcast_if_small
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+TOXIC = 0.5
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, learnt from the labels, does not reject."""
+    model = toxicity.train(docs, read_table(spark, sf_dir, "labels"))
+    scored = toxicity.with_score(docs, model, name="_toxicity")
+    return scored.filter(F.col("_toxicity") < TOXIC).select(*COLUMNS)
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,10 +32,41 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return exact_dedup.drop_copies(docs).select(*COLUMNS)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that near-duplicate links connect, the one with the smallest id stays."""
+    found = ngram_join.near_duplicates(docs)
+    dropped = written(
+        found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_dropped")).distinct(),
+        "dropped",
+    )
+    dropped = broadcast_if_small(dropped, dropped.count())
+    return docs.join(dropped, F.col("doc_id") == F.col("_dropped"), "left_anti").select(*COLUMNS)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of all sources; a document comes once per round that takes it."""
+    mixed = mixing.mix(mixing.deal(mixing.plan_mix(docs)))
+    # The one document of a source that its target cuts has become shorter.
+    return mixed.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every document of the mix, with the end id."""
+    encoded = sentencepiece_codec.encode(docs, piece_model())
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity_stage),
     ("exact_dedup", exact_dedup_stage),
+    ("ngram_join", ngram_join_stage),
+    ("mixing", mixing_stage),
+    ("sentencepiece", sentencepiece_stage),
 ]
 
+# A fitted classifier decides the first stage, which SQL cannot express.
 ORACLE_SQL = None
 
 

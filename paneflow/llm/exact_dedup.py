@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paneflow.llm.common import text_or_empty, written
+from paneflow.operators.skew import broadcast_if_small
 
 MIN_CHUNK, MAX_CHUNK = 1024, 16_384
 # 64-bit hashes an identifier begins with.
@@ -119,13 +120,17 @@ def find_copies(
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs` that stay, with all their columns. Ids must tell documents
-    apart: rows with the same id and different texts stay or go together only if their
-    texts do."""
-    found = find_copies(docs, id_col, text).filter("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha")
-    ).distinct()
-    same = F.col(id_col).eqNullSafe(F.col("_kept_id")) & (
-        F.sha2(text_or_empty(text), 256) == F.col("_kept_sha")
+    """The rows of `docs` that stay, with all their columns. The list of dropped rows is
+    broadcast if it is counted to be small; else both sides are shuffled on it."""
+    dropped = written(
+        find_copies(docs, id_col, text).filter(~F.col("kept"))
+        .select(F.col("doc_id").alias("_dropped_id"), F.col("text_sha256").alias("_dropped_sha"))
+        .distinct(),
+        "dropped",
+    )
+    # An id and a digest are some 80 bytes, ten times the width the bound is meant for.
+    dropped = broadcast_if_small(dropped, 10 * dropped.count())
+    same = F.col(id_col).eqNullSafe(F.col("_dropped_id")) & (
+        F.sha2(text_or_empty(text), 256) == F.col("_dropped_sha")
     )
-    return docs.join(found, same, "left_semi")
+    return docs.join(dropped, same, "left_anti")
