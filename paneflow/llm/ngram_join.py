@@ -54,7 +54,7 @@ COMBINE_MOST = 640
 # Sets up to this size have all their tokens counted.
 SHORT = 80
 COUNT_BUCKET_BYTES = 48 << 20
-FLUSH_TOKENS = 4_000_000
+FLUSH_TOKENS = 2_000_000
 # Ranks: counted rare tokens, then the uncounted, then frequent ones by their count.
 _LOW = np.uint64(1 << 62)
 _UNCOUNTED, _FREQUENT = 1 << 60, (1 << 62) + (1 << 61)
@@ -63,7 +63,7 @@ _A, _B, _C = (np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x1
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 2_000_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
