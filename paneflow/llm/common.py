@@ -115,3 +115,13 @@ def packed_blocks(texts: DataFrame, block_bytes: int) -> DataFrame:
             )
 
     return texts.mapInArrow(packed, "block long, packed binary")
+
+
+def few_at_a_time(batches: Iterable[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows in small slices, so that few texts at a time become Python strings;
+    memory that Arrow no longer needs is given back in between."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+        del batch
+        pa.default_memory_pool().release_unused()

@@ -38,7 +38,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paneflow.llm.common import text_blocks, text_or_empty, total_bytes, written
+from paneflow.llm.common import (
+    few_at_a_time,
+    text_blocks,
+    text_or_empty,
+    total_bytes,
+    written,
+)
 from paneflow.llm.components import connected_components
 from paneflow.operators.skew import broadcast_if_small
 
@@ -53,8 +59,8 @@ KNOWN_FREQUENT = 1 << 20
 COMBINE_MOST = 640
 # Sets up to this size have all their tokens counted.
 SHORT = 80
-COUNT_BUCKET_BYTES = 48 << 20
-FLUSH_TOKENS = 2_000_000
+COUNT_BUCKET_BYTES = 24 << 20
+FLUSH_TOKENS = 1_000_000
 # Ranks: counted rare tokens, then the uncounted, then frequent ones by their count.
 _LOW = np.uint64(1 << 62)
 _UNCOUNTED, _FREQUENT = 1 << 60, (1 << 62) + (1 << 61)
@@ -63,7 +69,7 @@ _A, _B, _C = (np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x1
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
+        if len(self) > 100_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -116,7 +122,7 @@ def token_counts(texts: DataFrame, buckets: int, n: int) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, seen, held, size = _Hashes(), set(), [], 0
-        for batch in batches:
+        for batch in few_at_a_time(batches):
             for text in batch.column(0).to_pylist():
                 tokens = token_set(text, known, n)
                 digest = hashlib.blake2b(tokens.tobytes(), digest_size=8).digest()
@@ -186,7 +192,7 @@ def signed_sets(
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, (tokens_known, order) = _Hashes(), shared.value
-        for batch in batches:
+        for batch in few_at_a_time(batches):
             sizes, digests, prefixes = [], [], []
             for text in batch.column("_text").to_pylist():
                 tokens = token_set(text, known, n)
@@ -256,7 +262,7 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int, n: int) -> DataFr
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, last, own = _Hashes(), None, None
-        for batch in batches:
+        for batch in few_at_a_time(batches):
             a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
             keep = []
             for i, node in enumerate(a):
