@@ -16,6 +16,8 @@ class JobConfig:
     early_fire_ms: int = 10_000
     # Longest list put in one output row; a longer window comes in several parts.
     part_rows: int = 100_000
+    # What an allowed-late row sends: "full", the whole list, or "delta", the record.
+    refire: str = "full"
     brokers: str = ""
     input_topic: str = "AggregateProspect"
     results_topic: str = "ProspectAggregated"
@@ -25,6 +27,8 @@ class JobConfig:
     writer_schemas: dict[int, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
+        if self.refire not in ("full", "delta"):
+            raise ValueError(f"unknown refire mode {self.refire!r}")
         for name in ("window_ms", "custom_window_ms", "early_fire_ms", "part_rows"):
             if getattr(self, name) <= 0:
                 raise ValueError(f"{name} must be positive")

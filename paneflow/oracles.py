@@ -110,6 +110,39 @@ JOIN placed p ON p.user_id = t.user_id AND p.w_start = t.w_start
 GROUP BY ALL"""
 
 
+# Re-fires over rows of one event type: lists cut into short parts, and single records.
+TYPE_ACCEPTED = SEEN + """,
+acc AS (SELECT * FROM seen WHERE status <> 'late'),""" + _distinct("acc", "event_type")
+
+TYPE_MARKS = """
+(SELECT event_type, w_start, w_end, arr, event_id, dup,
+        row_number() OVER (PARTITION BY event_type, w_start ORDER BY arr, event_id, dup) AS pane
+ FROM acc WHERE status = 'allowed')"""
+
+FULL_SMALL_PARTS = f"""
+WITH {TYPE_ACCEPTED},
+shown AS (
+  SELECT event_type, w_start, w_end, 0 AS pane, 'on_time' AS kind, ms, arr, event_id, dup
+  FROM firsts WHERE status = 'on_time'
+  UNION ALL
+  SELECT p.event_type, p.w_start, p.w_end, t.pane, 'refire', p.ms, p.arr, p.event_id, p.dup
+  FROM {TYPE_MARKS} t JOIN firsts p ON p.event_type = t.event_type AND p.w_start = t.w_start
+    AND (p.arr, p.event_id, p.dup) <= (t.arr, t.event_id, t.dup)
+), cut AS (
+  SELECT *, (row_number() OVER (PARTITION BY event_type, w_start, pane, kind
+             ORDER BY ms, arr, event_id, dup) - 1) // 2 AS part FROM shown
+)
+SELECT event_type, w_start, w_end, part, pane, kind, count(*) AS n,
+       string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY ms, arr, event_id, dup) AS ids
+FROM cut GROUP BY ALL"""
+
+DELTAS = f"""
+WITH {TYPE_ACCEPTED}
+SELECT event_type, w_start, w_end, 0 AS part, pane, 'refire_delta' AS kind, 1 AS n,
+       CAST(event_id AS VARCHAR) AS ids
+FROM {TYPE_MARKS}"""
+
+
 def _late(source: str, where: str) -> str:
     return f"""
 SELECT user_id, w_start, w_end, 0 AS part, 0 AS pane, 'late' AS kind, 1 AS n,
@@ -177,7 +210,7 @@ sent AS (
             ELSE CAST(ms AS VARCHAR) END
     || ', "shareHolders": [{{"id": ' || event_id || ', "cif": '
     || CASE WHEN event_id % 29 = 0 THEN 'null' ELSE '"cif"' END
-    || ', "firstName": "Usha", "lastName": "Patel", "match": false}}]}}' AS value
+    || ', "firstName": "Ben", "lastName": "Stone", "match": false}}]}}' AS value
   FROM ar
 ),
 judged AS (
@@ -243,6 +276,8 @@ FROM seen WHERE status = 'late'""",
 WITH {SEEN} SELECT arr // {DAY} AS day, count(*) AS late FROM seen WHERE status = 'late' GROUP BY 1""",
     "on_time_results": f"WITH {ACCEPTED} {ON_TIME}",
     "allowed_late_refires": f"WITH {ACCEPTED} {REFIRE}",
+    "refires_full_small_parts": FULL_SMALL_PARTS,
+    "refires_delta": DELTAS,
     "event_time_results": f"""
 WITH {ACCEPTED} {ON_TIME} UNION ALL {REFIRE} UNION ALL {_late("seen", "status = 'late'")}""",
     "early_fire_panes": f"WITH {_custom('arr')} {_early(ALIGNED)}",
@@ -291,23 +326,23 @@ WITH {ARRIVALS} SELECT event_id, dup, (arr // {EARLY} + 1) * {EARLY} AS next_ms
     "synthetic_events": """
 SELECT c_custkey AS id, 'Skynight Inc' AS companyName, 'Trd4534rF' AS tradeLicenseNumber,
        false AS match, 1704067200000 + i * 2000 AS eventTime,
-       'Cf123/Prashant Patel;Cf789/Usha Patel' AS share_holders
+       'Cf123/Ada Stone;Cf789/Ben Stone' AS share_holders
 FROM customer, generate_series(0, 9) AS s(i)""",
     "synthetic_rounds": """
 SELECT i AS id, 'Skynight Inc' AS companyName, 'Trd4534rF' AS tradeLicenseNumber,
        false AS match, 1704067200000 + (event_id * 10 + i) * 500 AS eventTime,
-       'Cf123/Prashant Patel;Cf789/Usha Patel' AS share_holders
+       'Cf123/Ada Stone;Cf789/Ben Stone' AS share_holders
 FROM events, generate_series(0, 9) AS s(i)""",
     "stream_event_time_results": f"""
 WITH {EVENTS}, {_windows("ev", "ms", HOUR)}
 SELECT user_id, w_start, w_end, 'on_time' AS kind, count(*) AS n,
        string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY ms, event_id) AS ids
-FROM (SELECT DISTINCT * FROM win) WHERE w_end - 1 <= (SELECT max(ms) FROM ev) - {DELAY}
+FROM (SELECT DISTINCT * FROM win)
 GROUP BY ALL""",
     "stream_ingestion_results": f"""
 WITH {EVENTS}, {_windows("ev", "ms", HOUR)}
 SELECT user_id, w_start, w_end, 'final' AS kind, count(*) AS n,
        string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY ms, event_id) AS ids
-FROM win WHERE w_end <= (SELECT max(ms) FROM ev) - {DELAY}
+FROM win
 GROUP BY ALL""",
 }

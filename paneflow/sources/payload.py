@@ -144,6 +144,8 @@ def parse_avro(
     """
     from pyspark.sql.avro.functions import from_avro
 
+    if not writer_schemas:
+        raise ValueError("no writer schema is known")
     options = {"mode": "PERMISSIVE"}
     if reader_schema is not None:
         options["avroSchema"] = reader_schema

@@ -11,8 +11,8 @@ from paneflow.schemas import COMPANY_FIELDS
 COMPANY_NAME = "Skynight Inc"
 TRADE_LICENSE = "Trd4534rF"
 SHARE_HOLDERS = [
-    (123, "Cf123", "123456789", "Prashant", "Patel", "Prashant Patel", False),
-    (456, "Cf789", "0987654331", "Usha", "Patel", "Usha Patel", False),
+    (123, "Cf123", "123456789", "Ada", "Stone", "Ada Stone", False),
+    (456, "Cf789", "0987654331", "Ben", "Stone", "Ben Stone", False),
 ]
 # The two load shapes.
 ROUND_IDS = 10

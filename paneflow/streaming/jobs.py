@@ -25,6 +25,15 @@ from paneflow.streaming.sinks import count_late, read_table, start_table
 cloudpickle.register_pickle_by_value(processors)
 
 
+# Records differing in a microsecond are different records.
+EXACT_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+# Event time of the row that ends a bounded run: 2200-01-01, within every clock in use.
+END_MS = 7_258_118_400_000
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """State in RocksDB, on disk and with its changes logged per batch."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
@@ -71,7 +80,7 @@ def _stateful(
         cut.alias("slice"),
         F.col(layout.event_ms).alias("ms"),
         *[F.col(c).alias(f"arrival_{i}") for i, c in enumerate(layout.arrival)],
-        F.to_json(layout.record_struct(), {"ignoreNullFields": "false"}).alias("payload"),
+        F.to_json(layout.record_struct(), {"ignoreNullFields": "false", **EXACT_TIMES}).alias("payload"),
         event_timestamp(layout.event_ms).alias("event_ts"),
     )
     if event_domain:
@@ -84,7 +93,7 @@ def _stateful(
         timeMode=mode.value,
     )
     return out.withColumn(
-        "companies", F.transform("payloads", lambda p: F.from_json(p, record))
+        "companies", F.transform("payloads", lambda p: F.from_json(p, record, EXACT_TIMES))
     ).drop("payloads")
 
 
@@ -98,6 +107,7 @@ def _settings(layout: Layout, config: JobConfig, size_ms: int, domain: TimeDomai
         shift_ms=HORIZON_MS - config.watermark_delay_ms if event else 0,
         part_rows=config.part_rows,
         early_ms=config.early_fire_ms,
+        refire=config.refire,
         event_domain=event,
     )
 
@@ -200,15 +210,37 @@ def fast_event_time_stream(
     return lists.withColumn("companies", F.transform(ordered, lambda x: x["rec"])).drop("items")
 
 
+def run_to_end(rows: DataFrame, layout: Layout, job, folder: str) -> DataFrame:
+    """Run a job over what the source holds now and drain it; its result table.
+
+    A second source, a folder below `folder`, is empty at first. When the first run has
+    taken all input, one row of the year 2200 is put there and the query goes on from its
+    checkpoint: the watermark passes every open window, and all of them fire, as they
+    would if the stream went on. That row's own window never fires.
+    """
+    spark = prepare(rows.sparkSession)
+    endings = f"{folder}/end"
+    columns = {layout.event_ms, layout.arrival[0]}
+    end = spark.range(1).select(
+        *[(F.lit(END_MS) if f.name in columns else F.lit(None)).cast(f.dataType).alias(f.name)
+          for f in rows.schema]
+    )
+    end.limit(0).write.parquet(endings)
+    both = rows.unionByName(spark.readStream.schema(rows.schema).parquet(endings))
+    out = count_late(job(both))
+    for last in (False, True):
+        if last:
+            end.write.mode("append").parquet(endings)
+        query = start_table(out, f"{folder}/results", f"{folder}/checkpoint", once=True)
+        query.awaitTermination()
+    return read_table(spark, f"{folder}/results", out.schema)
+
+
 def stream_event_windows(
     rows: DataFrame, layout: Layout, config: JobConfig, folder: str
 ) -> DataFrame:
     """Run the event-time job over what the source holds now; its result table."""
-    spark = prepare(rows.sparkSession)
-    out = count_late(event_time_stream(rows, layout, config))
-    query = start_table(out, f"{folder}/results", f"{folder}/checkpoint", once=True)
-    query.awaitTermination()
-    return read_table(spark, f"{folder}/results", out.schema)
+    return run_to_end(rows, layout, lambda r: event_time_stream(r, layout, config), folder)
 
 
 def stream_ingestion_windows(
@@ -216,11 +248,11 @@ def stream_ingestion_windows(
 ) -> DataFrame:
     """Run the ingestion-time job over what the source holds now, taking the
     arrival clock as the ingestion time."""
-    spark = prepare(rows.sparkSession)
-    stamped = rows.withColumn("ingest_ts", event_timestamp(layout.arrival[0]))
-    out = ingestion_time_stream(
-        stamped, layout, config, "ingest_ts", config.watermark_delay_ms
-    )
-    query = start_table(out, f"{folder}/results", f"{folder}/checkpoint", once=True)
-    query.awaitTermination()
-    return read_table(spark, f"{folder}/results", out.schema)
+
+    def job(all_rows: DataFrame) -> DataFrame:
+        stamped = all_rows.withColumn("ingest_ts", event_timestamp(layout.arrival[0]))
+        return ingestion_time_stream(
+            stamped, layout, config, "ingest_ts", config.watermark_delay_ms
+        )
+
+    return run_to_end(rows, layout, job, folder)

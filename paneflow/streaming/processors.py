@@ -32,6 +32,7 @@ class WindowSettings:
     shift_ms: int  # 0 in the processing-time domain
     part_rows: int
     early_ms: int = 0
+    refire: str = "full"
     event_domain: bool = True
 
 
@@ -149,7 +150,7 @@ class LatenessProcessor(WindowProcessor):
         for ms, payload in incoming:
             listing.add(ms, payload)
             pane += 1
-            if len(listing.items) > self.s.part_rows:
+            if self.s.refire == "delta":
                 out.append((pane, "refire_delta", [payload]))
             else:
                 out.append((pane, "refire", listing.payloads()))

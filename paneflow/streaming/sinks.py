@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from paneflow.config import JobConfig
 
 LATE_METRIC = "late_rows"
+MESSAGE_HEADERS = ("w_start", "w_end", "slice", "part", "pane", "kind")
 
 
 def start_table(
@@ -51,7 +52,8 @@ def start_console(out: DataFrame, checkpoint: str, rows: int = 20) -> StreamingQ
 def kafka_messages(out: DataFrame, config: JobConfig, encode_result, encode_late) -> DataFrame:
     """Result rows as `(topic, key, value)`: lists to the results topic, late rows
     in their original form to the late topic. The encoders turn a column into the
-    message value, `to_json` or registry-framed `to_avro`."""
+    message value, `to_json` or registry-framed `to_avro`. Headers tell a part, a pane
+    and its kind and window apart, so a consumer never takes a part for the whole."""
     late = F.col("kind") == "late"
     id_column = out.columns[0]
     aggregate = F.struct(F.col(id_column).alias("id"), F.col("companies"))
@@ -61,6 +63,13 @@ def kafka_messages(out: DataFrame, config: JobConfig, encode_result, encode_late
         F.when(late, encode_late(F.element_at("companies", 1)).cast("binary"))
         .otherwise(encode_result(aggregate).cast("binary"))
         .alias("value"),
+        F.array(
+            *[
+                F.struct(F.lit(c).alias("key"), F.col(c).cast("string").cast("binary").alias("value"))
+                for c in MESSAGE_HEADERS
+                if c in out.columns
+            ]
+        ).alias("headers"),
     )
 
 
@@ -90,6 +99,7 @@ def start_kafka(messages: DataFrame, config: JobConfig, checkpoint: str) -> Stre
         messages.writeStream.outputMode("append")
         .format("kafka")
         .option("kafka.bootstrap.servers", config.brokers)
+        .option("includeHeaders", "true")
         .option("checkpointLocation", checkpoint)
         .start()
     )

@@ -8,6 +8,7 @@ event, and every tenth event is delivered twice.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -180,6 +181,20 @@ def allowed_late_refires(spark, sf_dir):
     return _event_time(spark, sf_dir, ("refire",))
 
 
+SMALL_PARTS = replace(CONFIG, part_rows=2)
+
+
+def refires_full_small_parts(spark, sf_dir):
+    """Every window of more than two rows comes in parts, by position in its pane."""
+    return _event_time(spark, sf_dir, ("on_time", "refire"), BY_TYPE, SMALL_PARTS)
+
+
+def refires_delta(spark, sf_dir):
+    return _event_time(
+        spark, sf_dir, ("refire_delta",), BY_TYPE, replace(SMALL_PARTS, refire="delta")
+    )
+
+
 def event_time_results(spark, sf_dir):
     return _panes(event_time_job(arrivals(spark, sf_dir), BY_USER, CONFIG).all())
 
@@ -253,7 +268,7 @@ def _company_json() -> Column:
         F.col("event_type"), F.lit('", "match": false, "eventTime": '), when,
         F.lit(', "shareHolders": [{"id": '), F.col("event_id").cast("string"),
         F.lit(', "cif": '), cif,
-        F.lit(', "firstName": "Usha", "lastName": "Patel", "match": false}]}'),
+        F.lit(', "firstName": "Ben", "lastName": "Stone", "match": false}]}'),
     )
 
 
@@ -386,6 +401,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         late_counter,
         on_time_results,
         allowed_late_refires,
+        refires_full_small_parts,
+        refires_delta,
         event_time_results,
         early_fire_panes,
         early_fire_panes_event_time,
