@@ -20,6 +20,12 @@ the rest are verified on whole texts, and linked documents become components. On
 that still span several components are then joined with themselves, for pairs of different
 components. Every link between different components is found, so components are exact.
 
+Each set carries a sketch: for every bit, whether an odd number of its tokens falls on it.
+A bit in which two sketches differ stands for at least one token that only one of the sets
+has, so more such bits than a link allows rule the pair out, and never a pair that links.
+The test is part of the join, so members of a large group that share most of a text without
+linking leave it as no rows.
+
 Defined results: a null text, or one without words, has an empty set and links with
 nothing; a text of fewer than n words is one token of all its words; ids tell documents
 apart, and rows with the same id count as one node; a document whose id is null is in its
@@ -59,6 +65,9 @@ KNOWN_FREQUENT = 1 << 20
 COMBINE_MOST = 640
 # Sets up to this size have all their tokens counted.
 SHORT = 80
+SKETCH_BITS = 1024
+# Sets beyond this size differ in too many bits for sketches; their prefixes are compared.
+SKETCHED = 2000
 COUNT_BUCKET_BYTES = 24 << 20
 FLUSH_TOKENS = 1_000_000
 # Ranks: counted rare tokens, then the uncounted, then frequent ones by their count.
@@ -183,34 +192,47 @@ def prefix_length(size: int, percent: int, k: int = K) -> int:
     return min(size, size - -(-percent * size // 100) + k)
 
 
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """The parity of the number of tokens on every bit, as longs."""
+    bits = ((tokens >> np.uint64(17)) % np.uint64(SKETCH_BITS)).astype(np.int64)
+    odd = np.bincount(bits, minlength=SKETCH_BITS).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64)
+
+
 def signed_sets(
     texts: DataFrame, frequent: tuple[np.ndarray, np.ndarray], percent: int, n: int
 ) -> DataFrame:
-    """`id`, size `n`, `digest` of the set and its `prefix` of every document."""
+    """`id`, size `n`, `digest` of the set, its `prefix` and `sketch` of every document."""
     shared = texts.sparkSession.sparkContext.broadcast(frequent)
     id_type = texts.schema["id"].dataType.simpleString()
+    longs = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, (tokens_known, order) = _Hashes(), shared.value
         for batch in few_at_a_time(batches):
-            sizes, digests, prefixes = [], [], []
+            sizes, digests, prefixes, sketches = [], [], [], []
             for text in batch.column("_text").to_pylist():
                 tokens = token_set(text, known, n)
                 sizes.append(len(tokens))
                 digests.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest())
+                sketches.append(sketch(tokens))
                 prefixes.append(
                     ranks(tokens, tokens_known, order)[:prefix_length(len(tokens), percent)]
                 )
             offsets = np.cumsum([0, *map(len, prefixes)], dtype=np.int32)
             values = np.concatenate([np.zeros(0, np.int64), *prefixes])
+            by_long = np.array(sketches, dtype=np.int64).reshape(-1, len(longs)).T.copy()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
-                ["id", "n", "digest", "prefix"],
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
+                 pa.StructArray.from_arrays([pa.array(x) for x in by_long], longs)],
+                ["id", "n", "digest", "prefix", "sketch"],
             )
 
     return texts.select("id", "_text").mapInArrow(
-        sign, f"id {id_type}, n long, digest binary, prefix array<long>"
+        sign,
+        f"id {id_type}, n long, digest binary, prefix array<long>, "
+        f"sketch struct<{', '.join(f'{x}: long' for x in longs)}>",
     )
 
 
@@ -241,6 +263,19 @@ def _sizes_allow(a: str, b: str, percent: int) -> Column:
     return (na * percent <= nb * 100) & (nb * percent <= na * 100)
 
 
+def _sketches_allow(a: str, b: str, percent: int) -> Column:
+    na, nb = F.col(f"{a}_n"), F.col(f"{b}_n")
+    most = na + nb - least_overlap(na, nb, percent) * 2
+    apart = [
+        F.bit_count(F.col(f"{a}_sketch.s{i}").bitwiseXOR(F.col(f"{b}_sketch.s{i}")))
+        for i in range(SKETCH_BITS // 64)
+    ]
+    # The first quarter alone rules out most pairs.
+    first, rest = apart[:len(apart) // 4], apart[len(apart) // 4:]
+    total = sum(first[1:], first[0])
+    return (total <= most) & (sum(rest, total) <= most)
+
+
 def _may_link(a: str, b: str, percent: int) -> Column:
     """Whether sizes and prefixes of two sets allow a link: a token of one prefix that is
     not in the other, though the other's prefix reaches beyond it, is in one set only."""
@@ -290,10 +325,13 @@ def _sized(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
 
 def _paired(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Distinct `a`, `b` that sizes and prefixes do not rule out."""
-    a = reps.select(F.col("node").alias("a"), F.col("prefix").alias("a_prefix"))
-    b = reps.select(F.col("node").alias("b"), F.col("prefix").alias("b_prefix"))
-    joined = _sized(pairs, reps, percent).join(a, "a").join(b, "b")
-    return joined.filter(_may_link("a", "b", percent)).select("a", "b")
+    left = _sized(pairs, reps, percent)
+    for column, allowed in (("sketch", _sketches_allow), ("prefix", _may_link)):
+        a = reps.select(F.col("node").alias("a"), F.col(column).alias(f"a_{column}"))
+        b = reps.select(F.col("node").alias("b"), F.col(column).alias(f"b_{column}"))
+        joined = left.join(a, "a").join(b, "b").filter(allowed("a", "b", percent))
+        left = joined.select("a", "b", "a_n", "b_n")
+    return left.select("a", "b")
 
 
 def _verified_among(pairs: DataFrame, texts: DataFrame, percent: int, n: int) -> DataFrame:
@@ -323,7 +361,11 @@ def near_duplicates(
     reps = written(
         sets.filter("n > 0")
         .groupBy("n", "digest")
-        .agg(F.min("id").alias("node"), F.first("prefix").alias("prefix")),
+        .agg(
+            F.min("id").alias("node"),
+            F.first("prefix").alias("prefix"),
+            F.first("sketch").alias("sketch"),
+        ),
         "representatives",
     )
     linked = _links(reps.filter("node IS NOT NULL"), texts, percent, n)
@@ -360,18 +402,19 @@ def _links(reps: DataFrame, texts: DataFrame, percent: int, n: int) -> DataFrame
     open_entries = placed.groupBy("entry").agg(
         F.min("component").alias("_low"), F.max("component").alias("_high")
     ).filter("_low < _high").select("entry")
-    # Where an entry may be long, its pairs are tested inside the join already.
-    long_entry = (F.col("entry") < 0) | (F.col("entry") >= _FREQUENT)
+    # Where an entry may be long and sketches do not tell, prefixes are tested in the join.
+    long_entry = (F.col("n") > SKETCHED) & ((F.col("entry") < 0) | (F.col("entry") >= _FREQUENT))
     live = written(
         placed.join(open_entries, "entry", "left_semi")
-        .join(reps.select("node", "n", "prefix"), "node")
+        .join(reps.select("node", "n", "prefix", "sketch"), "node")
         .withColumn("prefix", F.when(long_entry, F.col("prefix"))),
         "open",
     )
-    a = live.select("entry", *[F.col(c).alias(f"a_{c}") for c in ("node", "component", "n", "prefix")])
+    held = ("node", "component", "n", "prefix", "sketch")
+    a = live.select("entry", *[F.col(c).alias(f"a_{c}") for c in held])
     b = live.select(
         F.col("entry").alias("_entry"),
-        *[F.col(c).alias(f"b_{c}") for c in ("node", "component", "n", "prefix")],
+        *[F.col(c).alias(f"b_{c}") for c in held],
     )
     across = a.join(
         b,
@@ -379,7 +422,12 @@ def _links(reps: DataFrame, texts: DataFrame, percent: int, n: int) -> DataFrame
         & (F.col("a_node") > F.col("b_node"))
         & (F.col("a_component") != F.col("b_component"))
         & _sizes_allow("a", "b", percent)
-        & (F.col("a_prefix").isNull() | _may_link("a", "b", percent)),
+        & _sketches_allow("a", "b", percent)
+        & (
+            F.col("a_prefix").isNull()
+            | F.col("b_prefix").isNull()
+            | _may_link("a", "b", percent)
+        ),
     ).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
     far = _verified_among(_paired(across, reps, percent), texts, percent, n)
     return near.unionByName(far)
