@@ -10,9 +10,10 @@ is indexed. If the shared tokens include a rare one, the first kind finds the pa
 two frequent ones do, so no pair is lost. Documents of more than `COMBINE_MOST` n-grams
 index frequent tokens singly; the two schemes overlap by the allowed difference in size.
 
-Token counts cover all documents: every token in the lowest quarter of the hash range, and
-every token of short documents, is counted exactly. Tokens outside are ordered after the
-counted rare ones. The order decides the work, never the result.
+Token counts cover all documents: every token in the lowest quarter of the hash range is
+counted exactly, every other one wherever a run of `FLUSH_TOKENS` tokens holds it more than
+once, so that what is common is known as such at little cost. Those not known to be common
+are ordered after the counted rare ones. The order decides the work, never the result.
 
 Within an index entry pairs are not enumerated. Each document is first paired with two
 pivots of its entry, a linear number of pairs; pairs that the prefixes alone rule out go,
@@ -63,8 +64,6 @@ RARE_MOST = 8
 # Frequent tokens that the order knows: a fixed bound of what is broadcast.
 KNOWN_FREQUENT = 1 << 20
 COMBINE_MOST = 640
-# Sets up to this size have all their tokens counted.
-SHORT = 80
 SKETCH_BITS = 1024
 # Sets beyond this size differ in too many bits for sketches; their prefixes are compared.
 SKETCHED = 2000
@@ -117,6 +116,11 @@ def token_counts(texts: DataFrame, buckets: int, n: int) -> DataFrame:
 
     def ranges(tokens: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         distinct, count = np.unique(np.concatenate(tokens), return_counts=True)
+        told = (distinct < _LOW) | (count > 1)
+        # Spread the counted quarter over the whole range for even buckets.
+        distinct, count = _mixed(distinct[told]), count[told]
+        order = np.argsort(distinct)
+        distinct, count = distinct[order], count[order]
         # Equal shares of the token range; a token is in the same one in every task.
         edges = [(i << 64) // buckets for i in range(1, buckets)]
         cuts = np.searchsorted(distinct, np.array(edges, dtype=np.uint64))
@@ -138,10 +142,8 @@ def token_counts(texts: DataFrame, buckets: int, n: int) -> DataFrame:
                 if digest in seen:
                     continue
                 seen.add(digest)
-                # Spread the counted quarter over the whole range for even buckets.
-                counted = tokens if len(tokens) <= SHORT else tokens[tokens < _LOW]
-                held.append(_mixed(counted.copy()))
-                size += len(counted)
+                held.append(tokens)
+                size += len(tokens)
                 if size >= FLUSH_TOKENS:
                     yield from ranges(held)
                     seen, held, size = set(), [], 0
