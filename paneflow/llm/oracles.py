@@ -131,6 +131,56 @@ SELECT g.doc_id, len(g.shingles)::BIGINT AS n_shingles, c.component_id
 FROM g JOIN c ON c.a = g.doc_id
 """
 
+# CRC-32 of a number in decimals, bit by bit.
+_CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT],
+      list_transform(range(1, len(c::VARCHAR) + 1), lambda i: ascii(substr(c::VARCHAR, i::INT, 1))::BIGINT)),
+    lambda a, b: list_reduce(list_concat([xor(a, b)], list_transform(range(8), lambda i: 0::BIGINT)),
+      lambda x, y: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"""
+
+OP12 = rf"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id
+      ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT c, list({{'role': role, 'text': text}} ORDER BY pos) AS turns FROM t GROUP BY c
+), openings AS (
+  SELECT *, ({_CRC32}) % 4 AS h FROM own
+), rebuilt AS (
+  SELECT o.c, list_concat(coalesce(list_slice(f.turns, 1, o.h), []),
+                          list_slice(o.turns, o.h + 1, len(o.turns))) AS turns
+  FROM openings o LEFT JOIN own f ON f.c = o.c - o.c % 20
+), p AS (
+  SELECT c, turns, unnest(range(0, len(turns) + 1)) AS depth FROM rebuilt
+), keyed AS (
+  SELECT c, depth, depth = len(turns) AS ends, list_slice(turns, 1, depth) AS node,
+    CASE WHEN depth > 0 THEN list_slice(turns, 1, depth - 1) END AS parent,
+    CASE WHEN depth = 0 THEN 0
+      ELSE len(regexp_extract_all(turns[depth].text, '[^\x20\x09-\x0D]+')) END AS words
+  FROM p
+), nodes AS (
+  SELECT node, any_value(parent) AS parent, min(c) AS conv_id, depth, count(*) AS n_convs,
+    max(words) AS words,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM keyed GROUP BY node, depth
+), children AS (
+  SELECT parent AS node, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY parent
+), sizes AS (
+  SELECT n.*, coalesce(k.n, 0) AS n_children, (n.n_convs - 1) * n.words AS own_saved
+  FROM nodes n LEFT JOIN children k USING (node)
+), above AS (
+  SELECT s.*, unnest(range(0, s.depth + 1)) AS d FROM sizes s
+), below AS (
+  SELECT list_slice(node, 1, d) AS node, sum(own_saved)::BIGINT AS saved_tokens,
+    count(*) FILTER (n_children = 0) AS n_leaves
+  FROM above GROUP BY 1
+)
+SELECT s.conv_id, s.depth, u.conv_id AS parent_conv_id, s.n_convs, s.n_children, b.n_leaves,
+       b.saved_tokens, s.ends_sha256
+FROM sizes s JOIN below b USING (node) LEFT JOIN nodes u ON s.depth > 0 AND u.node = s.parent
+"""
+
 ORACLES = {
     "op1_warc_revisits": OP1,
     "op6_embedding_dedup": OP6,
@@ -138,4 +188,5 @@ ORACLES = {
     "op8_ngram_join": OP8,
     "op9_url_filter": OP9,
     "op10_exact_dedup": OP10,
+    "op12_conversation_trie": OP12,
 }

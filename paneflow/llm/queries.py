@@ -9,13 +9,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paneflow.llm import (
+    conversation_trie,
     embedding_dedup,
     exact_dedup,
     mixing,
     ngram_join,
     pii,
     pitman_yor,
+    quality_forest,
     sentencepiece_codec,
+    token_alignment,
     toxicity,
     url_filter,
     warc,
@@ -134,6 +137,27 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_copies(read_table(spark, sf_dir, "documents"))
 
 
+def op11_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return quality_forest.judge(docs, labels).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "score",
+    )
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.rebuilt_trie(read_table(spark, sf_dir, "conversations"))
+
+
+def byte_bpe() -> str:
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        return file.read()
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(read_table(spark, sf_dir, "documents"), byte_bpe(), piece_model())
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc_revisits": op1_warc_revisits,
     "op2_sentencepiece": op2_sentencepiece,
@@ -145,4 +169,7 @@ QUERIES: dict[str, Query] = {
     "op8_ngram_join": op8_ngram_join,
     "op9_url_filter": op9_url_filter,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_quality_forest": op11_quality_forest,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_token_alignment": op13_token_alignment,
 }
