@@ -9,8 +9,8 @@ Groups end where tokens of both end; tokens whose bytes overlap are linked.
 
 Neither tokenizer lets a token, or a merge, reach from a character that is not white space
 over a single space into the next word. So a text is cut there into chunks (a word with the
-space before it), each distinct chunk is aligned once per task while it is remembered, and
-a text's alignment is that of its chunks, one after the other.
+space before it), each distinct chunk of a block is aligned once, and a text's alignment is
+that of its chunks, one after the other. Many chunks are aligned together as arrays.
 
 1. Blocks of about `BLOCK_BYTES` of text are aligned. A block becomes one row: its documents
    as lists of chunk numbers, its chunks as lists of pair numbers, its distinct pairs of ids
@@ -38,7 +38,7 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import accumulate
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -51,9 +51,6 @@ from pyspark.sql import functions as F
 from paneflow.llm.common import few_at_a_time, numbered_blocks, pack, text_or_empty, unpack, written
 
 BLOCK_BYTES = 8_000_000
-# Distinct chunks that a task remembers beyond the block at hand, and the longest of them.
-REMEMBERED = 60_000
-REMEMBERED_CHARS = 64
 # Characters of new chunks that the tokenizers get at once.
 AT_ONCE = 200_000
 MARKER = "▁"
@@ -71,80 +68,61 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(others)}
 
 
-@dataclass(frozen=True)
+@dataclass
+class Tokens:
+    """Tokens of chunks that stand one after the other: `ids`, the number `n` of each chunk,
+    the characters at which each token starts and ends by its tokenizer, `size` in bytes."""
+
+    ids: np.ndarray
+    n: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    size: np.ndarray
+
+    def of(self, chunks: np.ndarray) -> Tokens:
+        """The tokens of some chunks, spans as they were."""
+        own = np.repeat(chunks, self.n)
+        return Tokens(self.ids[own], self.n[chunks], self.start[own], self.end[own], self.size[own])
+
+
+def byte_ends(tokens: Tokens, chars: np.ndarray, byte_at: np.ndarray) -> np.ndarray:
+    """Byte at which each token ends. `chars` is where each chunk ends in characters, and
+    `byte_at` gives the byte of a character.
+
+    Where a token ends and the next one starts behind it, the span is a coarse cut. Tokens
+    that share a character with the next one end as many bytes behind the last cut as the
+    decoded bytes since then.
+    """
+    last = np.cumsum(tokens.n) - 1
+    start, end = tokens.start.copy(), tokens.end.copy()
+    end[last] = chars
+    # Of the bytes of a character only the last one has a span; it is that of all of them.
+    spread = np.where(start < end, np.arange(len(end)), len(end) - 1)
+    end = end[np.minimum.accumulate(spread[::-1])[::-1]]
+    cut = np.ones(len(end), dtype=bool)
+    cut[:-1] = start[1:] >= end[:-1]
+    cut[last] = True
+    decoded = np.cumsum(tokens.size)
+    ahead = np.where(cut, byte_at[end] - decoded, 0)
+    before = np.maximum.accumulate(np.where(cut, np.arange(len(end)), -1))
+    return decoded + np.where(before >= 0, ahead[before], 0)
+
+
+@dataclass
 class Aligned:
-    """Alignment of a chunk: tokens of both, its groups as text, and the ids that each
-    link joins, A's id in the upper half."""
-
-    n_a: int
-    n_b: int
-    n_groups: int
-    groups: str
+    """Alignment of chunks: tokens of both and groups of each, the groups as text with a
+    semicolon behind each, the ids joined by its links (A's id in the upper half)."""
+
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    groups: list[str]
+    n_links: np.ndarray
     pairs: np.ndarray
 
 
-def cut_points(spans: list[tuple[int, int]]) -> dict[int, int]:
-    """Characters between which one token ends and the next begins, and how many tokens lie
-    before. Tokens that share a character all end, as spans, behind it."""
-    following = [start for start, _ in spans[1:]] + [1 << 62]
-    return {end: i + 1 for i, ((_, end), start) in enumerate(zip(spans, following)) if start >= end}
-
-
-def refine(
-    text: str,
-    a_spans: list[tuple[int, int]],
-    b_spans: list[tuple[int, int]],
-    a_bytes: list[bytes],
-    b_bytes: list[bytes],
-) -> tuple[list[int], list[int]] | None:
-    """Byte at which each token ends. Spans give the characters that a token covers by its
-    tokenizer; None if the tokens' bytes are not those of the text."""
-    a_ends: list[int] = []
-    b_ends: list[int] = []
-    a_cuts, b_cuts = cut_points(a_spans), cut_points(b_spans)
-    i = j = start = at = 0
-    for cut in sorted(a_cuts.keys() & b_cuts.keys()):
-        piece = text[start:cut].encode()
-        for own, first, last, ends in (
-            (a_bytes, i, a_cuts[cut], a_ends), (b_bytes, j, b_cuts[cut], b_ends),
-        ):
-            if b"".join(own[first:last]) != piece:
-                return None
-            ends += [at + e for e in accumulate(map(len, own[first:last]))]
-        i, j, start, at = a_cuts[cut], b_cuts[cut], cut, at + len(piece)
-    if start != len(text) or i != len(a_bytes) or j != len(b_bytes):
-        return None
-    return a_ends, b_ends
-
-
-def linked(
-    a_ids: list[int], b_ids: list[int], a_ends: list[int], b_ends: list[int]
-) -> Aligned:
-    """Groups and links of tokens that end at these bytes."""
-    groups, pairs = [], []
-    i = j = first_a = first_b = 0
-    while i < len(a_ids) and j < len(b_ids):
-        pairs.append((a_ids[i] << 32) | b_ids[j])
-        a_end, b_end = a_ends[i], b_ends[j]
-        if a_end <= b_end:
-            i += 1
-        if b_end <= a_end:
-            j += 1
-        if a_end == b_end:
-            groups.append(
-                ",".join(map(str, a_ids[first_a:i])) + "|" + ",".join(map(str, b_ids[first_b:j]))
-            )
-            first_a, first_b = i, j
-    return Aligned(len(a_ids), len(b_ids), len(groups), ";".join(groups), np.array(pairs, np.int64))
-
-
-def chunks_of(text: str) -> list[str]:
-    """Pieces of a text between single spaces that stand between other characters."""
-    return _CUT.split(text)
-
-
 class Aligner:
-    """Both tokenizers and what is remembered of chunks met before."""
+    """Both tokenizers and tables of their vocabularies."""
 
     def __init__(self, byte_bpe: str, piece_model: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -157,122 +135,180 @@ class Aligner:
             bytes(alphabet.get(c, 0x3F) for c in self.a.id_to_token(i) or "") for i in range(size)
         ]
         self.b_bytes = [self._piece_bytes(i) for i in range(self.b.get_piece_size())]
-        self.known: dict[str, Aligned | None] = {}
+        self.a_size, self.b_size = (
+            np.array([len(t) for t in table], np.int64) for table in (self.a_bytes, self.b_bytes)
+        )
+        # How ids are written in groups: within a side, at the end of a side.
+        most = max(len(self.a_bytes), len(self.b_bytes))
+        self.written = [f"{i}{sign}" for sign in ",|;" for i in range(most)]
+        self.written_size = np.array([len(w) for w in self.written], np.int64)
+        self.most = most
 
     def _piece_bytes(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
         byte = BYTE_PIECE.fullmatch(piece) if self.b.is_byte(i) else None
         return bytes([int(byte[1], 16)]) if byte else piece.replace(MARKER, " ").encode()
 
-    def align(self, chunks: list[str]) -> list[Aligned | None]:
-        """Alignment of each chunk; None where tokens do not give the chunk back."""
-        own = [" " + c for c in chunks]
-        encodings = self.a.encode_batch(own, add_special_tokens=False)
-        protos = self.b.encode(chunks, return_type="proto", num_threads=1)
-        return [
-            self._align(text, chunk, e, p) if chunk else None
-            for text, chunk, e, p in zip(own, chunks, encodings, protos)
-        ]
+    def _tokens(self, chunks: list[str]) -> tuple[Tokens, Tokens]:
+        base = np.cumsum([0, *(len(c) + 1 for c in chunks)])[:-1]
+        encodings = self.a.encode_batch([" " + c for c in chunks], add_special_tokens=False)
+        spans = self.b.encode(chunks, return_type="offset_mapping", num_threads=1)
+        out = []
+        for ids, offsets, sizes, ahead in (
+            ([e.ids for e in encodings], [e.offsets for e in encodings], self.a_size, 0),
+            # B leaves out the space in front.
+            ([s["ids"] for s in spans], [s["offsets"] for s in spans], self.b_size, 1),
+        ):
+            n = np.array([len(i) for i in ids], np.int64)
+            flat = np.fromiter(chain.from_iterable(ids), np.int64)
+            places = np.array(list(chain.from_iterable(offsets)), np.int64).reshape(-1, 2)
+            places += (np.repeat(base, n) + ahead)[:, None]
+            out.append(Tokens(flat, n, places[:, 0], places[:, 1], sizes[flat]))
+        return out[0], out[1]
+
+    def _given_back(self, tokens: Tokens, table: list[bytes], chunks: list[str]) -> np.ndarray:
+        """Whether the tokens' bytes are a space and the chunk."""
+        if b"".join(map(table.__getitem__, tokens.ids.tolist())) == "".join([" " + c for c in chunks]).encode():
+            lengths = np.array([len(c.encode()) + 1 for c in chunks])
+            sizes = np.add.reduceat(tokens.size, np.cumsum(tokens.n) - tokens.n) if tokens.n.all() else lengths - 1
+            if np.array_equal(sizes, lengths):
+                return np.ones(len(chunks), dtype=bool)
+        parts = np.split(tokens.ids, np.cumsum(tokens.n)[:-1])
+        return np.array([
+            b"".join([table[i] for i in ids.tolist()]) == (" " + c).encode() for ids, c in zip(parts, chunks)
+        ])
+
+    def align(self, chunks: list[str]) -> tuple[np.ndarray, Aligned]:
+        """Which chunks both tokenizers give back, and the alignment of those."""
+        a, b = self._tokens(chunks)
+        fine = self._given_back(a, self.a_bytes, chunks) & self._given_back(b, self.b_bytes, chunks)
+        own = [c for c, f in zip(chunks, fine) if f]
+        if not own:
+            none = np.zeros(0, np.int64)
+            return fine, Aligned(none, none, none, [], none, none)
+        if len(own) < len(chunks):
+            gone = np.array([0 if f else len(c) + 1 for c, f in zip(chunks, fine)])
+            moved = np.cumsum(gone)
+            for tokens in (a, b):
+                shift = np.repeat(moved, tokens.n)
+                tokens.start, tokens.end = tokens.start - shift, tokens.end - shift
+            a, b = a.of(fine), b.of(fine)
+        text = "".join([" " + c for c in own])
+        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        widths = 1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF).astype(np.int64)
+        byte_at = np.concatenate([[0], np.cumsum(widths)])
+        chars = np.cumsum([len(c) + 1 for c in own])
+        return fine, self._joined(a, b, byte_ends(a, chars, byte_at), byte_ends(b, chars, byte_at), byte_at[chars])
+
+    def _joined(self, a: Tokens, b: Tokens, a_ends, b_ends, stops: np.ndarray) -> Aligned:
+        """Alignment of tokens that end at these bytes, in chunks that end at `stops`."""
+        # Between two ends of any kind lies one token of each: a link.
+        ends = np.union1d(a_ends, b_ends)
+        in_a, in_b = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
+        pairs = (a.ids[in_a] << 32) | b.ids[in_b]
+        both = (a_ends[in_a] == ends) & (b_ends[in_b] == ends)
+        cuts = ends[both]
+        # Ids in the order of the groups: A's, then B's, of each.
+        group = np.concatenate([np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)])
+        order = np.argsort(2 * group + (np.arange(len(group)) >= len(a_ends)), kind="stable")
+        closing = np.concatenate([np.isin(a_ends, cuts) * self.most, np.isin(b_ends, cuts) * 2 * self.most])
+        codes = (np.concatenate([a.ids, b.ids]) + closing)[order]
+        text = "".join(map(self.written.__getitem__, codes.tolist()))
+        places = np.concatenate([[0], np.cumsum(self.written_size[codes])])
+        bounds = [0, *places[np.cumsum(a.n + b.n)].tolist()]
+        counts = np.diff(np.concatenate([[0], np.searchsorted(cuts, stops, "right")]))
+        links = np.diff(np.concatenate([[0], np.searchsorted(ends, stops, "right")]))
+        return Aligned(a.n, b.n, counts, [text[x:y] for x, y in zip(bounds, bounds[1:])], links, pairs)
 
-    def _align(self, text, chunk, encoding, proto) -> Aligned | None:
-        a_ids, b_ids, b_spans = encoding.ids, [], []
-        for piece in proto.pieces:
-            b_ids.append(piece.id)
-            b_spans.append((piece.begin, piece.end))
-        # Of the bytes of a character only the last one has a span; it is that of all of them.
-        for i in range(len(b_spans) - 2, -1, -1):
-            start, end = b_spans[i]
-            if start == end:
-                b_spans[i] = (start, b_spans[i + 1][1])
-        # B's spans count bytes and leave out the space in front.
-        if chunk.isascii():
-            b_spans = [(start + 1, end + 1) for start, end in b_spans]
-        else:
-            bytes_before = accumulate((len(c.encode()) for c in chunk), initial=0)
-            place = {byte: i + 1 for i, byte in enumerate(bytes_before)}
-            b_spans = [(place.get(start, 0), place.get(end, 0)) for start, end in b_spans]
-        found = refine(
-            text, encoding.offsets, b_spans,
-            [self.a_bytes[i] for i in a_ids], [self.b_bytes[i] for i in b_ids],
-        )
-        return None if found is None else linked(a_ids, b_ids, *found)
-
-    def texts(self, texts: list[str]) -> Iterator[list[Aligned] | None]:
-        """Alignments of the chunks of each text; None for a text without tokens."""
-        cut = [chunks_of(t) if t else [] for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        fresh = list(dict.fromkeys(c for chunks in cut for c in chunks if c not in self.known))
-        now: dict[str, Aligned | None] = {}
-        held, size = [], 0
-        for i, chunk in enumerate(fresh):
-            held.append(chunk)
-            size += len(chunk)
-            if size >= AT_ONCE or i == len(fresh) - 1:
-                now.update(zip(held, self.align(held)))
-                held, size = [], 0
-        known = self.known
-        for chunks in cut:
-            found = [now[c] if c in now else known[c] for c in chunks]
-            yield found if found and None not in found else None
-        known.update((c, a) for c, a in now.items() if len(c) <= REMEMBERED_CHARS)
-
-
-def _ragged(lists: list[np.ndarray], dtype) -> pa.ListArray:
-    offsets = np.cumsum([0, *map(len, lists)], dtype=np.int32)
-    values = np.concatenate(lists).astype(dtype) if lists else np.zeros(0, dtype)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+
+def chunks_of(text: str) -> list[str]:
+    """Pieces of a text between single spaces that stand between other characters."""
+    return _CUT.split(text) if text else []
+
+
+def _ragged(values: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
 
 
 class _Block:
-    """What is gathered of one block of texts."""
-
-    def __init__(self) -> None:
-        self.numbers: dict[int, int] = {}
-        self.alignments: list[Aligned] = []
-        self.times: list[int] = []
-        self.rows: dict[str, list] = {k: [] for k in ("id", "n_a", "n_b", "n_groups", "n_links", "sha")}
-        self.chunks: list[np.ndarray] = []
-
-    def add(self, doc_id, found: list[Aligned] | None) -> None:
-        own = []
-        for alignment in found or ():
-            at = self.numbers.get(id(alignment))
-            if at is None:
-                at = self.numbers[id(alignment)] = len(self.alignments)
-                self.alignments.append(alignment)
-                self.times.append(0)
-            self.times[at] += 1
-            own.append(at)
-        counted = found or []
-        sha = ""
-        if counted:
-            sha = hashlib.sha256(";".join([x.groups for x in counted]).encode()).hexdigest()
-        values = (doc_id, sum(x.n_a for x in counted), sum(x.n_b for x in counted),
-                  sum(x.n_groups for x in counted), sum(len(x.pairs) for x in counted), sha)
-        for column, value in zip(self.rows.values(), values):
-            column.append(value)
-        self.chunks.append(np.array(own, np.int32))
+    """What is gathered of one block of texts: its distinct chunks, and the numbers of the
+    chunks of each text."""
+
+    def __init__(self, aligner: Aligner):
+        self.aligner = aligner
+        self.numbers: dict[str, int] = {}
+        self.waiting: list[str] = []
+        self.chars = 0
+        self.fine: list[np.ndarray] = []
+        self.parts: list[Aligned] = []
+        self.ids: list = []
+        self.texts: list[np.ndarray] = []
+
+    def add(self, doc_id, text: str) -> None:
+        numbers, own = self.numbers, []
+        for chunk in chunks_of(text):
+            number = numbers.get(chunk)
+            if number is None:
+                number = numbers[chunk] = len(numbers)
+                self.waiting.append(chunk)
+                self.chars += len(chunk)
+            own.append(number)
+        self.ids.append(doc_id)
+        self.texts.append(np.array(own, np.int32))
+        if self.chars >= AT_ONCE:
+            self.flush()
+
+    def flush(self) -> None:
+        if self.waiting:
+            fine, part = self.aligner.align(self.waiting)
+            self.fine.append(fine)
+            self.parts.append(part)
+            self.waiting, self.chars = [], 0
 
     def record(self, block: int, id_type: pa.DataType) -> pa.RecordBatch:
-        lists = [a.pairs for a in self.alignments]
-        sizes = np.array([len(p) for p in lists], np.int64)
-        flat = np.concatenate([np.zeros(0, np.int64), *lists])
+        self.flush()
+        none = np.zeros(0, np.int64)
+        fine = np.concatenate([none, *self.fine]).astype(bool)
+
+        def whole(name: str) -> np.ndarray:
+            """A number of every chunk, 0 for those without tokens."""
+            out = np.zeros(len(fine), np.int64)
+            out[fine] = np.concatenate([none, *(getattr(p, name) for p in self.parts)])
+            return out
+
+        groups = np.full(len(fine), "", dtype=object)
+        groups[fine] = [g for p in self.parts for g in p.groups]
+        n_links = whole("n_links")
+        flat = np.concatenate([none, *(p.pairs for p in self.parts)])
+        # A text with a chunk that is not given back has no tokens at all.
+        texts = [t if fine[t].all() else t[:0] for t in self.texts]
+        used, lengths = np.concatenate([np.zeros(0, np.int32), *texts]), np.array([len(t) for t in texts], np.int64)
+        times = np.bincount(used, minlength=len(fine))
         pairs, place = np.unique(flat, return_inverse=True)
-        times = np.bincount(
-            place, weights=np.repeat(np.array(self.times, np.int64), sizes), minlength=len(pairs)
+        counts = np.bincount(
+            place, weights=np.repeat(times, n_links), minlength=len(pairs)
         ).astype(np.int64)
-        cuts = np.cumsum(sizes)[:-1] if len(sizes) else []
+        bounds = np.concatenate([[0], np.cumsum(lengths)])
+
+        def summed(values: np.ndarray) -> pa.Array:
+            total = np.concatenate([[0], np.cumsum(values[used])]).astype(np.int64)
+            return pa.array(total[bounds[1:]] - total[bounds[:-1]])
+
+        digests = [
+            hashlib.sha256("".join(groups[t])[:-1].encode()).hexdigest() if len(t) else "" for t in texts
+        ]
         docs = pa.table(
-            [pa.array(self.rows["id"], id_type), *(pa.array(self.rows[k], pa.int64())
-             for k in ("n_a", "n_b", "n_groups", "n_links")), pa.array(self.rows["sha"]),
-             _ragged(self.chunks, np.int32)],
+            [pa.array(self.ids, id_type), summed(whole("n_a")), summed(whole("n_b")),
+             summed(whole("n_groups")), summed(n_links), pa.array(digests, pa.string()),
+             _ragged(used, lengths)],
             ["id", "n_a", "n_b", "n_groups", "n_links", "sha", "chunks"],
         )
-        own = pa.table([_ragged(np.split(place.astype(np.int32), cuts) if lists else [], np.int32)], ["pairs"])
+        own = pa.table([_ragged(place, n_links)], ["pairs"])
+        # Pairs of chunks that only texts without tokens hold are in no link.
         return pa.RecordBatch.from_arrays(
             [pa.array([block]), pa.array([pack(docs)], pa.binary()), pa.array([pack(own)], pa.binary()),
-             pa.array([pairs], pa.list_(pa.int64())), pa.array([times], pa.list_(pa.int64()))],
+             pa.array([pairs], pa.list_(pa.int64())), pa.array([counts], pa.list_(pa.int64()))],
             ["block", "docs", "chunks", "pairs", "times"],
         )
 
@@ -287,11 +323,10 @@ def aligned_blocks(texts: DataFrame, byte_bpe: str, piece_model: bytes) -> DataF
         for number, rows in numbered_blocks(batches, block_bytes):
             if aligner is None:
                 aligner = Aligner(*shared.value)
-            block, id_type = _Block(), rows[0].schema.field(0).type
-            for batch in few_at_a_time(rows, 100):
-                ids = batch.column(0).to_pylist()
-                for doc_id, found in zip(ids, aligner.texts(batch.column(1).to_pylist())):
-                    block.add(doc_id, found)
+            block, id_type = _Block(aligner), rows[0].schema.field(0).type
+            for batch in few_at_a_time(rows):
+                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    block.add(doc_id, text)
             yield block.record(number, id_type)
 
     return texts.mapInArrow(
@@ -301,7 +336,7 @@ def aligned_blocks(texts: DataFrame, byte_bpe: str, piece_model: bytes) -> DataF
 
 def pair_counts(blocks: DataFrame) -> DataFrame:
     """`pair`, `links` in the whole corpus, and `best` (1 if no pair of its B id has more)."""
-    rows = blocks.select(F.explode(F.arrays_zip("pairs", "times")).alias("x"))
+    rows = blocks.select(F.explode(F.arrays_zip("pairs", "times")).alias("x")).filter("x.times > 0")
     counts = written(
         rows.groupBy(F.col("x.pairs").alias("pair")).agg(F.sum("x.times").alias("links")), "pair_counts"
     )

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -79,8 +80,7 @@ def check(docs, models):
 
 def test_odd_repeated_and_null_texts_in_many_blocks(spark, models, monkeypatch):
     monkeypatch.setattr(alignment, "BLOCK_BYTES", 400)
-    monkeypatch.setattr(alignment, "REMEMBERED", 20)
-    monkeypatch.setattr(alignment, "REMEMBERED_CHARS", 3)
+    monkeypatch.setattr(alignment, "AT_ONCE", 30)
     rng = random.Random(11)
     alphabet = ["a", "b", " ", "  ", "é", "漢", "\n", "the", "ing ", "\U0001f600", "'s", "9", " ", "　", "ﬁ"]
     texts = ODD + ["".join(rng.choice(alphabet) for _ in range(rng.randrange(50))) for _ in range(400)]
@@ -104,9 +104,21 @@ def test_empty_table_and_only_empty_texts(spark, models):
     assert alignment.align(docs.limit(0), *models).count() == 0
 
 
-def test_tokens_that_do_not_give_the_text_back():
-    assert alignment.refine("ab", [(0, 2)], [(0, 2)], [b"ab"], [b"ax"]) is None
-    # A's second token covers the end of one character and the next one.
-    ends = alignment.refine("éa", [(0, 1), (0, 2)], [(0, 1), (1, 2)], ["é".encode()[:1], "é".encode()[1:] + b"a"],
-                            ["é".encode(), b"a"])
-    assert ends == ([1, 3], [2, 3])
+def test_spans_are_refined_by_decoded_bytes():
+    """A's first token ends within a character, its second one covers the rest and another."""
+    longs = lambda *x: np.array(x, np.int64)
+    tokens = alignment.Tokens(longs(7, 8, 9), longs(3), longs(0, 1, 1), longs(1, 2, 3), longs(1, 1, 2))
+    assert alignment.byte_ends(tokens, longs(3), longs(0, 1, 3, 4)).tolist() == [1, 2, 4]
+    # Byte-fallback tokens have empty spans but for the last.
+    tokens = alignment.Tokens(longs(1, 2, 3, 4), longs(4), longs(1, 1, 1, 2), longs(1, 1, 2, 3), longs(1, 1, 2, 1))
+    assert alignment.byte_ends(tokens, longs(3), longs(0, 1, 4, 5)).tolist() == [1, 2, 4, 5]
+
+
+def test_chunks_that_are_not_given_back(models):
+    aligner = alignment.Aligner(*models)
+    fine, found = aligner.align(["one", "a▁b", "漢 two", "▁"])
+    assert fine.tolist() == [True, False, True, False]
+    alone = [aligner.align([c])[1] for c in ("one", "漢 two")]
+    assert found.groups == [x.groups[0] for x in alone]
+    assert found.pairs.tolist() == [p for x in alone for p in x.pairs.tolist()]
+    assert aligner.align(["▁"])[1].groups == []
