@@ -32,9 +32,11 @@ def event_timestamp(ms: Column | str) -> Column:
     return F.timestamp_millis(_col(ms))
 
 
-def stamp_ingestion(rows: DataFrame, name: str = "ingest_ts") -> DataFrame:
-    """Stamp rows with the time they were read (one time per micro-batch)."""
-    return rows.withColumn(name, F.current_timestamp())
+def stamp_ingestion(rows: DataFrame, name: str = "ingest_ms") -> DataFrame:
+    """Stamp rows with the time they were read, epoch milliseconds: one time per micro-batch.
+    Rows of equal stamps have a total order only together with where they came from, so an
+    arrival order is (stamp, partition, offset)."""
+    return rows.withColumn(name, F.unix_millis(F.current_timestamp()))
 
 
 def window_start(ms: Column | str, size_ms: int) -> Column:

@@ -239,6 +239,68 @@ good AS (
   FROM fine
 )"""
 
+# Streaming jobs: arrivals in equal stretches of the arrival clock, one watermark per batch.
+MICRO_BATCHES = 5
+STREAM_LATENESS = 6 * HOUR
+HELD_BACK = ARRIVALS + f""",
+held AS (SELECT * REPLACE (arr + event_id % 7 * {2 * HOUR} AS arr) FROM ar)"""
+
+
+def _micro(source: str, ms: str, name: str = "mb") -> str:
+    """Rows of `source` with their batch and the watermark it met; the last watermark."""
+    return f"""
+{name}_of AS (
+  SELECT *, (arr - (SELECT min(arr) FROM held)) * {MICRO_BATCHES}
+            // (SELECT max(arr) - min(arr) + 1 FROM held) AS batch FROM {source}
+),
+{name}_tops AS (SELECT batch, max({ms}) AS top FROM {name}_of GROUP BY batch),
+{name}_wms AS (
+  SELECT batch, max(top) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING
+                               AND 1 PRECEDING) - {DELAY} AS wm FROM {name}_tops
+),
+{name} AS (SELECT o.*, w.wm FROM {name}_of o JOIN {name}_wms w USING (batch)),
+ended AS (SELECT max({ms}) - {DELAY} AS wm_end FROM {source})"""
+
+
+STATUS = f"""CASE WHEN wm >= w_end - 1 + {STREAM_LATENESS} THEN 'late'
+             WHEN wm >= w_end - 1 THEN 'allowed' ELSE 'on_time' END"""
+STREAM_SEEN = HELD_BACK + "," + _micro("held", "ms") + "," + _windows("mb", "ms", HOUR) + f""",
+seen AS (SELECT *, {STATUS} AS status FROM win)"""
+STREAM_ACCEPTED = STREAM_SEEN + """,
+acc AS (SELECT * FROM seen WHERE status <> 'late'),""" + _distinct("acc", "user_id") + "," + _placed(
+    "firsts", "user_id", BY_EVENT, PART
+)
+STREAM_ON_TIME = ON_TIME.replace("status = 'on_time'", "status = 'on_time' AND w_end - 1 <= (SELECT wm_end FROM ended)")
+STREAM_CUSTOM = STREAM_SEEN + f""",
+clk AS (SELECT *, wm AS clock FROM seen),
+acc AS (SELECT * FROM clk WHERE clock IS NULL OR clock < w_end + {STREAM_LATENESS}),""" + _distinct(
+    "acc", "user_id"
+) + "," + _placed("firsts", "user_id", BY_EVENT, PART)
+STREAM_PASSED = f"""
+(SELECT DISTINCT wm - wm % {EARLY} + {EARLY} AS b FROM mb_wms, ended
+ WHERE wm IS NOT NULL AND wm_end >= wm - wm % {EARLY} + {EARLY}) g"""
+STREAM_FINAL = FINAL.replace("FROM placed", f"FROM placed WHERE w_end + {STREAM_LATENESS} <= (SELECT wm_end FROM ended)")
+
+COMPANY_STREAM = COMPANIES.replace(ARRIVALS, HELD_BACK).replace("FROM ar\n)", "FROM held\n)") + "," + _micro("good", "event_time") + "," + _windows("mb", "event_time", HOUR) + f""",
+seen AS (SELECT *, {STATUS} AS status FROM win),
+acc AS (SELECT * FROM seen WHERE status <> 'late'),
+firsts AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id, w_start, holder_id, event_time,
+      trade_license_number ORDER BY arr, event_id, dup) AS nth FROM acc) WHERE nth = 1
+),
+marks AS (
+  SELECT *, row_number() OVER (PARTITION BY id, w_start ORDER BY arr, event_id, dup) AS pane
+  FROM acc WHERE status = 'allowed'
+),
+shown AS (
+  SELECT 'on_time' AS kind, id, w_start, 0 AS pane, holder_id, event_time, arr, event_id, dup
+  FROM firsts WHERE status = 'on_time' AND w_end - 1 <= (SELECT wm_end FROM ended)
+  UNION ALL
+  SELECT 'refire', f.id, f.w_start, m.pane, f.holder_id, f.event_time, f.arr, f.event_id, f.dup
+  FROM marks m JOIN firsts f ON f.id = m.id AND f.w_start = m.w_start
+    AND (f.arr, f.event_id, f.dup) <= (m.arr, m.event_id, m.dup)
+)"""
+
 ORACLES: dict[str, str] = {
     "event_window_distinct_sorted": _distinct_lists(
         ARRIVALS + "," + _windows("ar", "ms", HOUR), "win", "user_id"
@@ -345,4 +407,43 @@ SELECT user_id, w_start, w_end, 'final' AS kind, count(*) AS n,
        string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY ms, event_id) AS ids
 FROM win
 GROUP BY ALL""",
+    "stream_fired_panes": f"""
+WITH {STREAM_ACCEPTED} {STREAM_ON_TIME} UNION ALL {REFIRE} UNION ALL {_late("seen", "status = 'late'")}""",
+    "stream_refires": f"""
+WITH {STREAM_SEEN},
+acc AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id, w_start, event_id, event_type, value, props, ms
+                               ORDER BY arr, event_id, dup) = 1 AS fresh
+  FROM seen WHERE status <> 'late'
+)
+SELECT user_id, w_start, w_end, event_id, dup, fresh FROM acc WHERE status = 'allowed'""",
+    "stream_late_rows": f"""
+WITH {STREAM_SEEN}
+SELECT user_id, w_start, w_end, event_id, dup, event_type, value, props, ms
+FROM seen WHERE status = 'late'""",
+    "stream_late_counter": f"""
+WITH {STREAM_SEEN} SELECT count(*) AS late FROM seen WHERE status = 'late'""",
+    "stream_custom_window_results": f"""
+WITH {STREAM_CUSTOM} {_early(STREAM_PASSED)} UNION ALL {STREAM_FINAL}
+UNION ALL {_late("clk", f"clock >= w_end + {STREAM_LATENESS}")}""",
+    "stream_ingestion_lists": f"""
+WITH {HELD_BACK}, {_windows("held", "arr", HOUR)}, {_placed("win", "user_id", BY_ARRIVAL, PART)}
+SELECT user_id, w_start, w_end, part, 0::BIGINT AS pane, 'final' AS kind, count(*) AS n,
+       string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY arr, event_id, dup) AS ids
+FROM placed WHERE w_end - 1 <= (SELECT max(arr) FROM held) GROUP BY ALL""",
+    "stream_ingestion_stamps": f"""
+WITH {HELD_BACK}, {_micro("held", "ms")}
+SELECT user_id, event_id, dup, row_number() OVER (PARTITION BY user_id
+         ORDER BY batch, user_id % 3, event_id * 2 + dup) AS nth
+FROM mb""",
+    "job_with_dead_letters": f"""
+WITH {COMPANY_STREAM}
+SELECT kind, id, w_start, pane, string_agg(holder_id || '@' || event_time, ','
+         ORDER BY event_time, arr, event_id, dup) AS companies,
+       NULL::VARCHAR AS reason, NULL::BIGINT AS "offset"
+FROM shown GROUP BY ALL
+UNION ALL
+SELECT 'late', id, w_start, 0, holder_id || '@' || event_time, NULL, NULL FROM seen WHERE status = 'late'
+UNION ALL
+SELECT 'dead_letter', NULL, NULL, NULL, NULL, reason, event_id * 2 + dup FROM judged WHERE reason IS NOT NULL""",
 }

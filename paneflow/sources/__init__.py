@@ -1,6 +1,8 @@
 from paneflow.sources.kafka import kafka_stream, read_kafka, registry_payload
 from paneflow.sources.payload import (
+    avro_decoders,
     company_columns,
+    decode_registry,
     parse_avro,
     parse_company_json,
     parse_json,
@@ -10,7 +12,9 @@ from paneflow.sources.payload import (
 from paneflow.sources.synthetic import per_id_events, rounds, synthetic_events, synthetic_stream
 
 __all__ = [
+    "avro_decoders",
     "company_columns",
+    "decode_registry",
     "kafka_stream",
     "parse_avro",
     "parse_company_json",

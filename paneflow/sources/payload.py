@@ -13,6 +13,8 @@ from paneflow.schemas import OPTIONAL_SHARE_HOLDER_FIELDS, PROSPECT, PROSPECT_CO
 
 MALFORMED = "malformed payload"
 MISSING = "missing required field: "
+NO_HEADER = "no registry header"
+UNKNOWN_SCHEMA = "unknown schema id: "
 _CORRUPT = "_corrupt"
 # Where a row came from; a dead letter carries these when the input has them.
 ORIGIN = {"topic": "string", "partition": "int", "offset": "bigint"}
@@ -130,38 +132,70 @@ def parse_company_json(rows: DataFrame, value: str = "value", name: str = "rec")
     return _with_reason(parsed, bad, rec, PROSPECT_COMPANY, name).drop("_loose")
 
 
-def parse_avro(
+def decode_registry(
     rows: DataFrame,
-    writer_schemas: Mapping[int, str],
+    decoders: Mapping[int, Callable[[Column], Column]],
     schema: T.StructType,
-    reader_schema: str | None = None,
+    payload: str = "payload",
     name: str = "rec",
 ) -> DataFrame:
-    """Decode registry-framed Avro, `schema_id` and `payload` as given by
-    `registry_payload`, with the schema each row was written with.
+    """Decode registry-framed values, `schema_id` and `payload` as given by
+    `registry_payload`. Each row goes to the decoder of the schema it was written with, and
+    every decoder gives a record of the one reader `schema`, missing fields null.
 
-    Needs Spark's Avro package on the session's class path.
+    A row without a header or with an id that no decoder knows gets a reason of its own, and
+    so do payloads that do not decode (no record, or one without any value) and records that
+    lack a required field.
     """
+    if not decoders:
+        raise ValueError("no writer schema is known")
+    wanted = _nullable(schema)
+    own, tries = F.col("schema_id"), F.lit(None).cast(wanted)
+    for schema_id, decode in decoders.items():
+        fields = decode(F.col(payload))
+        tries = F.when(own == schema_id, fields).otherwise(tries)
+    rows = _once(rows, tries, "_parsed")
+    rec = F.struct(*[F.col("_parsed")[f].alias(f) for f in schema.fieldNames()])
+    empty = F.lit(True)
+    for field in schema.fieldNames():
+        empty = empty & F.col("_parsed")[field].isNull()
+    decoded = _with_reason(rows, F.col("_parsed").isNull() | empty, rec, schema, name)
+    known = own.isin(*decoders)
+    reason = (
+        F.when(own.isNull(), F.lit(NO_HEADER))
+        .when(~known, F.concat(F.lit(UNKNOWN_SCHEMA), own.cast("string")))
+        .otherwise(F.col("reason"))
+    )
+    return decoded.withColumn("reason", reason).drop("_parsed")
+
+
+def avro_decoders(
+    writer_schemas: Mapping[int, str], reader_schema: str | None = None
+) -> dict[int, Callable[[Column], Column]]:
+    """Decoders of Avro payloads for `decode_registry`, resolved to the reader schema. Needs
+    Spark's Avro package on the session's class path."""
     from pyspark.sql.avro.functions import from_avro
 
-    if not writer_schemas:
-        raise ValueError("no writer schema is known")
     options = {"mode": "PERMISSIVE"}
     if reader_schema is not None:
         options["avroSchema"] = reader_schema
-    tries = [
-        F.when(F.col("schema_id") == schema_id, from_avro("payload", text, options))
+    return {
+        schema_id: (lambda value, text=text: from_avro(value, text, options))
         for schema_id, text in writer_schemas.items()
-    ]
-    rows = _once(rows, F.coalesce(*tries), "_parsed")
-    rec = F.struct(*[F.col("_parsed")[f].alias(f) for f in schema.fieldNames()])
-    # A broken payload decodes to a record without any value.
-    empty = [F.col("_parsed")[f].isNull() for f in schema.fieldNames()]
-    bad = F.col("_parsed").isNull()
-    all_empty = empty[0]
-    for column in empty[1:]:
-        all_empty = all_empty & column
-    return _with_reason(rows, bad | all_empty, rec, schema, name).drop("_parsed")
+    }
+
+
+def parse_avro(
+    rows: DataFrame,
+    writer_schemas: Mapping[int, str],
+    schema: T.StructType,
+    reader_schema: str | None = None,
+    name: str = "rec",
+) -> DataFrame:
+    """Decode registry-framed Avro with the schema each row was written with."""
+    if not writer_schemas:
+        raise ValueError("no writer schema is known")
+    return decode_registry(rows, avro_decoders(writer_schemas, reader_schema), schema, name=name)
 
 
 def split_valid(parsed: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:

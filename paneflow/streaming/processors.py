@@ -5,15 +5,19 @@ jobs therefore give Spark a watermark with a very long delay, `HORIZON_MS`, and
 shift it back: with the wanted delay D, Spark's watermark plus (horizon - D) is
 the watermark of the job, and a timer for job time t is set at t less that shift.
 
-State is kept per key, window and slice. Rows arrive batch by batch; the list
-state keeps them in order of arrival.
+State is kept per bucket of keys and window, not per key: all windows of a bucket
+that end together share their timers, and one call serves all their rows. What is
+kept is a map from the digest of a record to the record, so a record delivered again
+changes nothing. Operators send single rows, told apart by `kind`; lists are put
+together from them by Spark (`streaming.results`). A call never holds more than the
+rows of its batch and `CHUNK` rows of state.
 """
 
 from __future__ import annotations
 
-from bisect import insort
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -21,63 +25,40 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 HORIZON_MS = 3650 * 86_400_000
 # Set on a state that met no watermark yet; due as soon as there is one.
 WAKE_MS = 1
+# Window of rows that have none because they could not be read.
+NO_WINDOW = -(1 << 62)
+CHUNK = 10_000
+COLUMNS = ("w_start", "kind", "fired_at", "fresh", "body")
 
 
 @dataclass(frozen=True)
 class WindowSettings:
-    keys: tuple[str, ...]
-    arrival: tuple[str, ...]
     size_ms: int
     lateness_ms: int
     shift_ms: int  # 0 in the processing-time domain
-    part_rows: int
+    arrival: tuple[str, ...]
     early_ms: int = 0
-    refire: str = "full"
     event_domain: bool = True
 
 
-class _Listing:
-    """Records seen so far: distinct, by event time, ties by arrival."""
-
-    def __init__(self, rows):
-        self._known: set[str] = set()
-        self.items: list[tuple[int, int, str]] = []
-        for ms, payload in rows:
-            self.add(ms, payload)
-
-    def add(self, ms: int, payload: str) -> None:
-        if payload not in self._known:
-            insort(self.items, (ms, len(self._known), payload))
-            self._known.add(payload)
-
-    def payloads(self) -> list[str]:
-        return [payload for _, _, payload in self.items]
-
-
 class WindowProcessor(StatefulProcessor):
     """What both kinds of window have in common."""
 
-    INFO = "pane int, fired boolean, next_early bigint"
+    INFO = "fired boolean, next_early bigint"
 
     def __init__(self, settings: WindowSettings):
         self.s = settings
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.rows = handle.getListState("rows", "ms bigint, payload string")
+        self.seen = handle.getMapState("seen", "digest string", "body string")
         self.info = handle.getValueState("info", self.INFO)
 
     def close(self) -> None:
         pass
 
-    def _info(self) -> tuple:
-        return self.info.get() if self.info.exists() else (0, False, None)
-
-    def _stored(self) -> list[tuple]:
-        return list(self.rows.get()) if self.rows.exists() else []
-
     def _clear(self) -> None:
-        self.rows.clear()
+        self.seen.clear()
         self.info.clear()
 
     def _now(self, timers) -> int | None:
@@ -90,150 +71,127 @@ class WindowProcessor(StatefulProcessor):
     def _timer(self, at_ms: int) -> None:
         self.handle.registerTimer(at_ms - self.s.shift_ms)
 
-    def _end(self, key) -> int:
-        return key[len(self.s.keys)] + self.s.size_ms
-
-    def _incoming(self, frames: Iterator[pd.DataFrame]) -> list[tuple[int, str]]:
-        frame = pd.concat(list(frames)).sort_values(list(self.s.arrival), kind="stable")
-        return list(zip(frame["ms"].tolist(), frame["payload"].tolist()))
-
-    def _frame(self, key, out: list[tuple[int, str, list[str]]]) -> pd.DataFrame:
-        """Result rows of (pane, kind, payloads), long lists cut into parts."""
-        cut = [
-            (pane, kind, part, payloads[i : i + self.s.part_rows])
-            for pane, kind, payloads in out
-            for part, i in enumerate(range(0, len(payloads), self.s.part_rows))
-        ]
-        n = len(cut)
-        start, size, depth = key[len(self.s.keys)], self.s.size_ms, len(self.s.keys)
-        columns = {k: [key[i]] * n for i, k in enumerate(self.s.keys)}
-        columns |= {
-            "w_start": [start] * n,
-            "w_end": [start + size] * n,
-            "slice": [key[depth + 1]] * n,
-            "part": [c[2] for c in cut],
-            "pane": [c[0] for c in cut],
-            "kind": [c[1] for c in cut],
-            "payloads": [c[3] for c in cut],
-        }
-        return pd.DataFrame(columns)
-
-    def _late(self, key, incoming) -> pd.DataFrame:
-        return self._frame(key, [(0, "late", [payload]) for _, payload in incoming])
+    def _incoming(self, frames: Iterable[pd.DataFrame]) -> pd.DataFrame:
+        """Rows of the batch in order of arrival."""
+        return pd.concat(list(frames)).sort_values(list(self.s.arrival), kind="stable")
+
+    def _store(self, incoming: pd.DataFrame) -> list[bool]:
+        """Keep records not seen before; says which rows those were."""
+        fresh = []
+        for digest, body in zip(incoming["digest"].tolist(), incoming["body"].tolist()):
+            known = self.seen.containsKey((digest,))
+            if not known:
+                self.seen.updateValue((digest,), (body,))
+            fresh.append(not known)
+        return fresh
+
+    def _frame(self, start: int, kind: str, bodies: list[str], fresh=True, at: int = 0) -> pd.DataFrame:
+        n = len(bodies)
+        marks = fresh if isinstance(fresh, list) else [fresh] * n
+        values = ([start] * n, [kind] * n, [at] * n, marks, bodies)
+        return pd.DataFrame(dict(zip(COLUMNS, values)))
+
+    def _contents(self, start: int, kind: str, at: int = 0) -> Iterator[pd.DataFrame]:
+        """All records of the window, some at a time."""
+        stored = self.seen.values()
+        while chunk := [value[0] for value in islice(stored, CHUNK)]:
+            yield self._frame(start, kind, chunk, at=at)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        start = key[1]
+        incoming = self._incoming(rows)
+        if start == NO_WINDOW:
+            yield self._frame(start, "dead_letter", incoming["body"].tolist())
+            return
+        yield from self.take(start, incoming, self._now(timerValues))
+
+    def take(self, start: int, incoming: pd.DataFrame, now: int | None) -> Iterator[pd.DataFrame]:
+        raise NotImplementedError
 
 
 class LatenessProcessor(WindowProcessor):
-    """On-time list when the watermark reaches the end of the window, a re-fire
-    for each allowed-late row, rows beyond that given back as late."""
+    """`on_time` rows when the watermark reaches the end of the window, a `refire` row
+    for each allowed-late one, rows beyond that given back as `late`."""
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        last = self._end(key) - 1
-        incoming = self._incoming(rows)
-        now = self._now(timerValues)
+    def take(self, start: int, incoming: pd.DataFrame, now: int | None) -> Iterator[pd.DataFrame]:
+        last = start + self.s.size_ms - 1
         if now is not None and now >= last + self.s.lateness_ms:
-            yield self._late(key, incoming)
+            yield self._frame(start, "late", incoming["body"].tolist())
             return
         if not self.info.exists():
-            self.info.update((0, False, None))
+            self.info.update((False, None))
             self._timer(last + self.s.lateness_ms)
             if now is None or now < last:
                 self._timer(last)
         if now is None or now < last:
-            self.rows.appendList(incoming)
+            self._store(incoming)
             return
-        # The batch's rows come before its timers, so the on-time list may be due.
-        pane, fired, _ = self._info()
-        listing = _Listing(self._stored())
-        out = []
-        if not fired and listing.items:
-            out.append((0, "on_time", listing.payloads()))
-        for ms, payload in incoming:
-            listing.add(ms, payload)
-            pane += 1
-            if self.s.refire == "delta":
-                out.append((pane, "refire_delta", [payload]))
-            else:
-                out.append((pane, "refire", listing.payloads()))
-        self.rows.appendList(incoming)
-        self.info.update((pane, True, None))
-        yield self._frame(key, out)
+        # The batch's rows come before its timers, so the on-time rows may be due.
+        if not self.info.get()[0]:
+            yield from self._contents(start, "on_time")
+            self.info.update((True, None))
+        fresh = self._store(incoming)
+        yield self._frame(start, "refire", incoming["body"].tolist(), fresh)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        last = self._end(key) - 1
+        start = key[1]
+        last = start + self.s.size_ms - 1
         due = expiredTimerInfo.getExpiryTimeInMs() + self.s.shift_ms
-        pane, fired, _ = self._info()
-        if due == last and not fired:
-            listing = _Listing(self._stored())
-            self.info.update((pane, True, None))
-            if listing.items:
-                yield self._frame(key, [(0, "on_time", listing.payloads())])
+        if due == last and self.info.exists() and not self.info.get()[0]:
+            yield from self._contents(start, "on_time")
+            self.info.update((True, None))
         if due >= last + self.s.lateness_ms:
             self._clear()
 
 
 class EarlyFireProcessor(WindowProcessor):
-    """The list so far at aligned instants before the window's end, the final
-    list some time after it, later rows given back as late."""
+    """All rows so far at aligned instants before the window's end as `early`, all rows
+    some time after it as `final`, later rows given back as `late`.
 
-    def _next(self, ms: int) -> int:
-        return ms - ms % self.s.early_ms + self.s.early_ms
+    Keys of a bucket share their instants: the next one is always the first after the
+    clock, whichever key came first.
+    """
 
-    def _pane(self, key, instant: int) -> int:
-        return instant // self.s.early_ms - key[len(self.s.keys)] // self.s.early_ms
-
-    def _schedule(self, key, now: int) -> int | None:
+    def _schedule(self, start: int, now: int) -> int | None:
         """Set the timer of the next early pane, if one is left."""
-        at = self._next(now)
-        if at >= self._end(key):
+        at = now - now % self.s.early_ms + self.s.early_ms
+        if at >= start + self.s.size_ms:
             return None
         self._timer(at)
         return at
 
-    def _early(self, key, instant: int) -> pd.DataFrame | None:
-        listing = _Listing(self._stored())
-        if not listing.items:
-            return None
-        return self._frame(key, [(self._pane(key, instant), "early", listing.payloads())])
+    def _next(self) -> int | None:
+        return self.info.get()[1] if self.info.exists() else None
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        closes = self._end(key) + self.s.lateness_ms
-        incoming = self._incoming(rows)
-        now = self._now(timerValues)
+    def take(self, start: int, incoming: pd.DataFrame, now: int | None) -> Iterator[pd.DataFrame]:
+        closes = start + self.s.size_ms + self.s.lateness_ms
         if now is not None and now >= closes:
-            yield self._late(key, incoming)
+            yield self._frame(start, "late", incoming["body"].tolist())
             return
         if not self.info.exists():
             self._timer(closes)
             if now is None:
                 self.handle.registerTimer(WAKE_MS)
-            at = None if now is None else self._schedule(key, now)
-            self.info.update((0, False, at))
+            self.info.update((False, None if now is None else self._schedule(start, now)))
         else:
             # A pane that fell due shows what was there before this batch.
-            at = self._info()[2]
+            at = self._next()
             if at is not None and now is not None and now >= at:
-                frame = self._early(key, at)
-                self.info.update((0, False, self._schedule(key, now)))
-                if frame is not None:
-                    yield frame
-        self.rows.appendList(incoming)
+                yield from self._contents(start, "early", at)
+                self.info.update((False, self._schedule(start, now)))
+        self._store(incoming)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        end, raw = self._end(key), expiredTimerInfo.getExpiryTimeInMs()
+        start, raw = key[1], expiredTimerInfo.getExpiryTimeInMs()
         now = self._now(timerValues)
         if raw == WAKE_MS and self.s.event_domain:
-            if self._info()[2] is None:
-                self.info.update((0, False, self._schedule(key, now)))
+            if self.info.exists() and self._next() is None:
+                self.info.update((False, self._schedule(start, now)))
             return
         due = raw + self.s.shift_ms
-        if due == end + self.s.lateness_ms:
-            listing = _Listing(self._stored())
-            pane = self._pane(key, end + self.s.early_ms - 1)
+        if due == start + self.s.size_ms + self.s.lateness_ms:
+            yield from self._contents(start, "final", due)
             self._clear()
-            if listing.items:
-                yield self._frame(key, [(pane, "final", listing.payloads())])
-        elif due == self._info()[2]:
-            frame = self._early(key, due)
-            self.info.update((0, False, self._schedule(key, now)))
-            if frame is not None:
-                yield frame
+        elif due == self._next():
+            yield from self._contents(start, "early", due)
+            self.info.update((False, self._schedule(start, now)))

@@ -1,42 +1,36 @@
 """Where results, late rows and dead letters go.
 
 One output carries all kinds of rows, told apart by `kind`, so a batch is computed
-and written once: the table sink files it by kind, the Kafka sink by topic.
+and written once: the results table files it by kind, the Kafka sink by topic.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from dataclasses import replace
+from threading import Event
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from paneflow.config import JobConfig
+from paneflow.layout import Layout
+from paneflow.streaming import results
+from paneflow.streaming.table import ResultTable
 
 LATE_METRIC = "late_rows"
-MESSAGE_HEADERS = ("w_start", "w_end", "slice", "part", "pane", "kind")
+MESSAGE_HEADERS = ("w_start", "w_end", "part", "pane", "kind")
 
 
-def start_table(
-    out: DataFrame, path: str, checkpoint: str, once: bool = False, by: str = "kind"
+def start_results(
+    out: DataFrame, table: ResultTable, checkpoint: str, once: bool = False
 ) -> StreamingQuery:
-    """Write batches to a parquet table, filed by batch and kind. A batch that is
-    run again after a failure replaces its own files."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").partitionBy(by).parquet(f"{path}/batch_id={batch_id}")
-
+    """Write fired rows to a results table, every kind in one pass."""
     writer = out.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-    writer = writer.foreachBatch(write)
+    writer = writer.foreachBatch(table.write)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Table written by `start_table`, with a `batch_id` column."""
-    full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(full).parquet(path)
-
-
 def start_console(out: DataFrame, checkpoint: str, rows: int = 20) -> StreamingQuery:
     """Print results, for looking on."""
     return (
@@ -93,16 +87,48 @@ def dead_letter_messages(dead: DataFrame, config: JobConfig) -> DataFrame:
     return dead.select(F.lit(config.dead_letter_topic).alias("topic"), body.alias("value"))
 
 
-def start_kafka(messages: DataFrame, config: JobConfig, checkpoint: str) -> StreamingQuery:
-    """Send messages to the topic each row names; at least once."""
-    return (
-        messages.writeStream.outputMode("append")
-        .format("kafka")
-        .option("kafka.bootstrap.servers", config.brokers)
-        .option("includeHeaders", "true")
-        .option("checkpointLocation", checkpoint)
-        .start()
-    )
+def result_messages(
+    fired: DataFrame, layout: Layout, config: JobConfig, encode_result, encode_late
+) -> DataFrame:
+    """Messages of the rows that one micro-batch of an event-time job fired: on-time lists,
+    what each allowed-late row adds, late rows, and dead letters if the job has them."""
+    lists = results.event_time_panes(fired, layout, replace(config, refire="delta"))
+    lists = lists.unionByName(results.late_results(fired, layout))
+    messages = kafka_messages(lists, config, encode_result, encode_late)
+    if "dead_letter" in fired.columns:
+        dead = dead_letter_messages(results.dead_letters(fired), config)
+        messages = messages.unionByName(dead, allowMissingColumns=True)
+    return messages
+
+
+def start_messages(out: DataFrame, messages, send, checkpoint: str, once: bool = False) -> StreamingQuery:
+    """Turn every micro-batch into messages and hand them to `send`, at least once. The batch
+    is kept while its kinds are put together, so the job's state runs once."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            send(messages(batch), batch_id)
+        finally:
+            batch.unpersist()
+
+    writer = out.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    writer = writer.foreachBatch(write)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def kafka_sender(config: JobConfig):
+    """Send messages to the topic each row names. Needs Spark's Kafka package."""
+
+    def send(messages: DataFrame, batch_id: int) -> None:
+        (
+            messages.write.format("kafka")
+            .option("kafka.bootstrap.servers", config.brokers)
+            .option("includeHeaders", "true")
+            .save()
+        )
+
+    return send
 
 
 def count_late(out: DataFrame) -> DataFrame:
@@ -111,21 +137,38 @@ def count_late(out: DataFrame) -> DataFrame:
 
 
 class LateCounter(StreamingQueryListener):
-    """Running number of late rows of the queries of a session."""
+    """Number of late rows of a session's queries, from the metric of every batch.
+
+    A query keeps its id over restarts, and a batch that is run again replaces its own
+    number, so the total counts each batch once however often the query is stopped.
+    """
 
     def __init__(self) -> None:
-        self.total = 0
+        self._batches: dict[tuple[str, int], int] = {}
+        self._ended: dict[str, Event] = {}
+
+    @property
+    def total(self) -> int:
+        return sum(self._batches.values())
+
+    def of(self, query_id: str) -> int:
+        return sum(n for (own, _), n in self._batches.items() if own == query_id)
+
+    def wait(self, run_id: str, seconds: float = 30.0) -> bool:
+        """Wait until the events of a run that has ended are all in."""
+        return self._ended.setdefault(run_id, Event()).wait(seconds)
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
-        seen = event.progress.observedMetrics.get(LATE_METRIC)
+        progress = event.progress
+        seen = progress.observedMetrics.get(LATE_METRIC)
         if seen is not None:
-            self.total += seen.n
+            self._batches[str(progress.id), progress.batchId] = seen.n
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self._ended.setdefault(str(event.runId), Event()).set()

@@ -7,10 +7,12 @@ event, and every tenth event is delivered twice.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +23,7 @@ from paneflow.functions.time import (
     iso_millis,
     iso_text,
     next_instant,
+    stamp_ingestion,
     with_windows,
 )
 from paneflow.layout import Layout
@@ -31,7 +34,14 @@ from paneflow.plans.batch import custom_window_job, event_time_job, ingestion_ti
 from paneflow.session import shared_folder, utc
 from paneflow.sources.payload import company_columns, parse_company_json, parse_json, split_valid
 from paneflow.sources.synthetic import per_id_events, rounds
-from paneflow.streaming.jobs import stream_event_windows, stream_ingestion_windows
+from paneflow.streaming import results as fired
+from paneflow.streaming.jobs import (
+    custom_window_stream,
+    event_time_stream,
+    ingestion_time_stream,
+)
+from paneflow.streaming.replay import Replay, replay
+from paneflow.streaming.sinks import LateCounter
 
 HOUR_MS = 3_600_000
 DAY_MS = 86_400_000
@@ -362,26 +372,180 @@ def synthetic_rounds(spark, sf_dir):
     return _load(rounds(numbers, "event_id", base_ms=LOAD_BASE_MS))
 
 
+# Micro-batches in which the recorded stream is fed to a streaming job.
+MICRO_BATCHES = 5
+STREAMED = replace(CONFIG, buckets=4, lateness_ms=6 * HOUR_MS)
+
+
+def held_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The recorded stream with some rows held back for hours, so that micro-batches meet
+    allowed-late and late rows at every scale."""
+    hours = F.col("event_id") % 7 * 2
+    return arrivals(spark, sf_dir).withColumn("arr", F.col("arr") + hours * HOUR_MS)
+
+
+def _micro_batches(rows: DataFrame) -> DataFrame:
+    """Number the rows' micro-batches: equal stretches of the arrival clock."""
+    low, high = rows.agg(F.min("arr"), F.max("arr")).first()
+    width = (high or 0) - (low or 0) + 1
+    return rows.withColumn("batch", F.floor((F.col("arr") - F.lit(low)) * MICRO_BATCHES / F.lit(width)))
+
+
+def _replayed(spark, rows: DataFrame, job, name: str) -> Replay:
+    return replay(_micro_batches(rows), "batch", job, shared_folder(spark, name))
+
+
+# The event-time job's run over a table, by session and table: several queries show it.
+_EVENT_TIME_RUNS: dict[tuple[str, str], tuple[Replay, int]] = {}
+
+
+def _event_time_run(spark, sf_dir) -> tuple[Replay, int]:
+    """The event-time job over disordered rows, and its late-row metric."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _EVENT_TIME_RUNS:
+        counter = LateCounter()
+        spark.streams.addListener(counter)
+        try:
+            job = lambda rows: event_time_stream(rows, BY_USER, STREAMED)
+            run = _replayed(spark, held_back(spark, sf_dir), job, "stream_event_time")
+            counter.wait(str(run.query.runId))
+        finally:
+            spark.streams.removeListener(counter)
+        _EVENT_TIME_RUNS[key] = run, counter.of(str(run.query.id))
+    return _EVENT_TIME_RUNS[key]
+
+
+def _to_end(spark, sf_dir, job, name: str) -> DataFrame:
+    """What a job fires over the table in its own order, all windows closed at the end."""
+    rows = events(spark, sf_dir)
+    most = rows.agg(F.max("ms")).first()[0] or 0
+    run = Replay(spark, rows.schema, job, shared_folder(spark, name))
+    try:
+        run.feed(rows)
+        run.drain(IN_ORDER, most, STREAMED.watermark_delay_ms + 2 * HOUR_MS + STREAMED.lateness_ms)
+    finally:
+        run.stop()
+    return run.results()
+
+
 def stream_event_time_results(spark, sf_dir):
     """The event-time job as a streaming query over the table, one run to its end."""
-    return _stream(spark, sf_dir, stream_event_windows)
+    job = lambda rows: event_time_stream(rows, IN_ORDER, STREAMED)
+    panes = fired.event_time_panes(_to_end(spark, sf_dir, job, "events"), IN_ORDER, STREAMED)
+    return _listing(panes, "user_id", "w_start", "w_end", "kind", records=F.col("companies"))
 
 
 def stream_ingestion_results(spark, sf_dir):
     """Incremental list windows as a streaming query over the table."""
-    return _stream(spark, sf_dir, stream_ingestion_windows)
+    job = lambda rows: ingestion_time_stream(rows, IN_ORDER, STREAMED, "ms")
+    lists = fired.ingestion_lists(_to_end(spark, sf_dir, job, "ingested"), IN_ORDER, STREAMED)
+    return _listing(lists, "user_id", "w_start", "w_end", "kind", records=F.col("companies"))
 
 
-def _stream(spark, sf_dir, run):
-    table = utc(spark).read.parquet(f"{sf_dir}/events.parquet")
-    # A pattern, since the table may be a folder or a single file.
-    source = spark.readStream.schema(table.schema).parquet(f"{sf_dir}/events.parque[t]")
-    rows = source.select(
-        "event_id", "user_id", "event_type", "value", "props", event_millis("ts").alias("ms")
+def stream_fired_panes(spark, sf_dir):
+    """Everything the event-time job fired over disordered rows, micro-batch by micro-batch;
+    windows that the watermark has not closed stay open."""
+    rows = _event_time_run(spark, sf_dir)[0].results()
+    panes = fired.event_time_panes(rows, BY_USER, STREAMED)
+    return _panes(panes.unionByName(fired.late_results(rows, BY_USER)))
+
+
+def stream_refires(spark, sf_dir):
+    """What each allowed-late row added, as fired."""
+    rows = fired.of_kind(_event_time_run(spark, sf_dir)[0].results(), "refire")
+    return rows.select("user_id", "w_start", "w_end", "event_id", "dup", "fresh")
+
+
+def stream_late_rows(spark, sf_dir):
+    rows = fired.of_kind(_event_time_run(spark, sf_dir)[0].results(), "late")
+    return rows.select("user_id", "w_start", "w_end", "event_id", "dup", "event_type", "value",
+                       "props", "ms")
+
+
+def stream_late_counter(spark, sf_dir):
+    """The late-row metric of the running job, as its listener counted it."""
+    return spark.createDataFrame([(_event_time_run(spark, sf_dir)[1],)], "late long")
+
+
+def stream_custom_window_results(spark, sf_dir):
+    """Early panes, final panes and late rows of the custom-window job on the watermark."""
+    job = lambda rows: custom_window_stream(rows, BY_USER, STREAMED, TimeDomain.EVENT)
+    rows = _replayed(spark, held_back(spark, sf_dir), job, "stream_custom").results()
+    panes = fired.custom_window_panes(rows, BY_USER, STREAMED)
+    return _panes(panes.unionByName(fired.late_results(rows, BY_USER)))
+
+
+def stream_ingestion_lists(spark, sf_dir):
+    """The ingestion-time job over several micro-batches, the arrival clock being the time
+    of ingestion."""
+    job = lambda rows: ingestion_time_stream(rows, BY_USER, STREAMED, "arr")
+    rows = _replayed(spark, held_back(spark, sf_dir), job, "stream_ingestion").results()
+    return _panes(fired.ingestion_lists(rows, BY_USER, STREAMED))
+
+
+STAMPED = Layout(
+    ("user_id",), "ms", ("ingest_ms", "partition", "offset"), (*RECORD, "dup")
+)
+
+
+def stream_ingestion_stamps(spark, sf_dir):
+    """Each key's rows in order of ingestion: stamped as their micro-batch is read, rows of
+    one stamp by partition and offset."""
+    config = replace(STREAMED, window_ms=1_000)
+    job = lambda rows: ingestion_time_stream(
+        stamp_ingestion(rows), STAMPED, config, "ingest_ms"
     )
-    out = run(rows, IN_ORDER, CONFIG, shared_folder(spark, "events"))
-    columns = ("user_id", "w_start", "w_end", "kind")
-    return _listing(out, *columns, records=F.col("companies"))
+    rows = held_back(spark, sf_dir).select(
+        "user_id", *STAMPED.record, "arr", (F.col("user_id") % 3).cast("int").alias("partition"),
+        (F.col("event_id") * 2 + F.col("dup")).alias("offset"),
+    )
+    numbered = _micro_batches(rows)
+    run = replay(numbered, "batch", job, shared_folder(spark, "stream_stamped"))
+    # A row read later, once the last windows are over, lets them fire.
+    time.sleep(config.window_ms / 1000)
+    try:
+        run.drain(STAMPED, 0, 0)
+    finally:
+        run.stop()
+    lists = fired.ingestion_lists(run.results(), STAMPED, config)
+    taken = lists.select("user_id", "w_start", "part", F.posexplode("companies").alias("pos", "rec"))
+    order = W.partitionBy("user_id").orderBy("w_start", "part", "pos")
+    return taken.select(
+        "user_id", "rec.event_id", "rec.dup", F.row_number().over(order).cast("long").alias("nth")
+    )
+
+
+def job_with_dead_letters(spark, sf_dir):
+    """The event-time job from payload to results: one parse, its good rows gathered, late
+    rows and dead letters beside them."""
+
+    def job(sent: DataFrame) -> DataFrame:
+        parsed = parse_company_json(sent)
+        return event_time_stream(company_columns(parsed), COMPANY, STREAMED)
+
+    sent = held_back(spark, sf_dir).select(
+        "event_id", "dup", "arr", _company_json().alias("value"),
+        (F.col("event_id") * 2 + F.col("dup")).alias("offset"),
+    )
+    rows = _replayed(spark, sent, job, "stream_companies").results()
+    panes = fired.event_time_panes(rows, COMPANY, STREAMED)
+    panes = panes.unionByName(fired.late_results(rows, COMPANY))
+    holders = F.transform(
+        "companies", lambda c: F.concat_ws("@", c["shareHolders"][0]["id"].cast("string"),
+                                           c["eventTime"].cast("string"))
+    )
+    none = F.lit(None)
+    lists = panes.select(
+        "kind", "id", "w_start", F.col("pane").cast("long").alias("pane"),
+        F.array_join(holders, ",").alias("companies"), none.cast("string").alias("reason"),
+        none.cast("long").alias("offset"),
+    )
+    dead = fired.dead_letters(rows).select(
+        F.lit("dead_letter").alias("kind"), none.cast("long").alias("id"),
+        none.cast("long").alias("w_start"), none.cast("long").alias("pane"),
+        none.cast("string").alias("companies"), "reason", "offset",
+    )
+    return lists.unionByName(dead)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -421,5 +585,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         synthetic_rounds,
         stream_event_time_results,
         stream_ingestion_results,
+        stream_fired_panes,
+        stream_refires,
+        stream_late_rows,
+        stream_late_counter,
+        stream_custom_window_results,
+        stream_ingestion_lists,
+        stream_ingestion_stamps,
+        job_with_dead_letters,
     )
 }

@@ -14,7 +14,9 @@ from paneflow.operators.lists import concat_lists
 from paneflow.operators.watermark import row_watermark
 from paneflow.plans.batch import event_time_job
 from paneflow.sources.payload import parse_avro
-from paneflow.streaming.jobs import prepare, stream_event_windows
+from paneflow.streaming import results
+from paneflow.streaming.jobs import event_time_stream
+from paneflow.streaming.replay import Replay
 from paneflow.streaming.sinks import kafka_messages
 
 LAYOUT = Layout(("k",), "ms", ("arr", "n"), ("n", "ms"))
@@ -87,16 +89,17 @@ def test_avro_needs_a_schema(spark):
 
 
 def test_stream_keeps_microseconds_and_open_windows(spark, tmp_path):
-    prepare(spark)
     at = datetime(2024, 1, 1)
     layout = Layout(("k",), "ms", ("ms", "n"), ("stamp", "ms"))
     rows = [(k, 1_704_067_200_000 + i * 1000, i, at + timedelta(microseconds=i)) for k in (1, 2) for i in range(3)]
     rows += [(1, 1_704_067_200_000, 9, at + timedelta(microseconds=77)), (1, 1_704_067_200_000, 10, at)]
-    schema = "k long, ms long, n long, stamp timestamp_ntz"
-    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in"))
-    source = spark.readStream.schema(spark.read.parquet(str(tmp_path / "in")).schema).parquet(str(tmp_path / "in"))
-    out = stream_event_windows(source, layout, CONFIG, str(tmp_path / "job"))
+    frame = spark.createDataFrame(rows, "k long, ms long, n long, stamp timestamp_ntz")
+    run = Replay(spark, frame.schema, lambda r: event_time_stream(r, layout, CONFIG), str(tmp_path))
+    run.feed(frame)
+    run.drain(layout, 1_704_067_202_000, 60_000)
+    run.stop()
+    out = results.event_time_panes(run.results(), layout, CONFIG)
     got = {r.k: [c.stamp.microsecond for c in r.companies] for r in out.collect()}
     assert got == {1: [0, 77, 1, 2], 2: [0, 1, 2]}
-    batch = event_time_job(spark.createDataFrame(rows, schema), layout, CONFIG).results
+    batch = event_time_job(frame, layout, CONFIG).results
     assert {r.k: [c.stamp.microsecond for c in r.companies] for r in batch.collect()} == got
