@@ -53,6 +53,8 @@ from paneflow.llm.common import few_at_a_time, numbered_blocks, pack, text_or_em
 BLOCK_BYTES = 8_000_000
 # Characters of new chunks that the tokenizers get at once.
 AT_ONCE = 200_000
+# Chunks that the tokenizers get as one text.
+TOGETHER = 64
 MARKER = "▁"
 # How a SentencePiece model writes the piece of a single byte.
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -150,20 +152,37 @@ class Aligner:
         return bytes([int(byte[1], 16)]) if byte else piece.replace(MARKER, " ").encode()
 
     def _tokens(self, chunks: list[str]) -> tuple[Tokens, Tokens]:
-        base = np.cumsum([0, *(len(c) + 1 for c in chunks)])[:-1]
-        encodings = self.a.encode_batch([" " + c for c in chunks], add_special_tokens=False)
-        spans = self.b.encode(chunks, return_type="offset_mapping", num_threads=1)
+        """Tokens of both. Chunks that begin and end with other than white space can stand in
+        one text, as they do in theirs, so `TOGETHER` of them go to the tokenizers at once."""
+        texts: list[str] = []
+        held: list[str] = []
+        for chunk in chunks:
+            alone = chunk[0].isspace() or chunk[-1].isspace()
+            if held and (alone or len(held) == TOGETHER):
+                texts.append(" ".join(held))
+                held = []
+            if alone:
+                texts.append(chunk)
+            else:
+                held.append(chunk)
+        if held:
+            texts.append(" ".join(held))
+        base = np.cumsum([0, *(len(t) + 1 for t in texts)])[:-1]
+        begins = np.cumsum([0, *(len(c) + 1 for c in chunks)])
+        encodings = self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)
+        spans = self.b.encode(texts, return_type="offset_mapping", num_threads=1)
         out = []
         for ids, offsets, sizes, ahead in (
             ([e.ids for e in encodings], [e.offsets for e in encodings], self.a_size, 0),
             # B leaves out the space in front.
             ([s["ids"] for s in spans], [s["offsets"] for s in spans], self.b_size, 1),
         ):
-            n = np.array([len(i) for i in ids], np.int64)
+            shift = np.repeat(base + ahead, [len(i) for i in ids])
             flat = np.fromiter(chain.from_iterable(ids), np.int64)
-            places = np.array(list(chain.from_iterable(offsets)), np.int64).reshape(-1, 2)
-            places += (np.repeat(base, n) + ahead)[:, None]
-            out.append(Tokens(flat, n, places[:, 0], places[:, 1], sizes[flat]))
+            places = np.fromiter(chain.from_iterable(chain.from_iterable(offsets)), np.int64).reshape(-1, 2)
+            start, end = places[:, 0] + shift, places[:, 1] + shift
+            n = np.diff(np.searchsorted(start, begins))
+            out.append(Tokens(flat, n, start, end, sizes[flat]))
         return out[0], out[1]
 
     def _given_back(self, tokens: Tokens, table: list[bytes], chunks: list[str]) -> np.ndarray:
@@ -180,19 +199,25 @@ class Aligner:
 
     def align(self, chunks: list[str]) -> tuple[np.ndarray, Aligned]:
         """Which chunks both tokenizers give back, and the alignment of those."""
-        a, b = self._tokens(chunks)
-        fine = self._given_back(a, self.a_bytes, chunks) & self._given_back(b, self.b_bytes, chunks)
-        own = [c for c, f in zip(chunks, fine) if f]
+        # B takes a marker for a space, so no chunk with one is given back.
+        fine = np.array([MARKER not in c for c in chunks], dtype=bool)
+        chunks = [c for c, f in zip(chunks, fine) if f]
+        own: list[str] = []
+        if chunks:
+            a, b = self._tokens(chunks)
+            back = self._given_back(a, self.a_bytes, chunks) & self._given_back(b, self.b_bytes, chunks)
+            own = [c for c, f in zip(chunks, back) if f]
+            fine[fine] = back
         if not own:
             none = np.zeros(0, np.int64)
             return fine, Aligned(none, none, none, [], none, none)
         if len(own) < len(chunks):
-            gone = np.array([0 if f else len(c) + 1 for c, f in zip(chunks, fine)])
+            gone = np.array([0 if f else len(c) + 1 for c, f in zip(chunks, back)])
             moved = np.cumsum(gone)
             for tokens in (a, b):
                 shift = np.repeat(moved, tokens.n)
                 tokens.start, tokens.end = tokens.start - shift, tokens.end - shift
-            a, b = a.of(fine), b.of(fine)
+            a, b = a.of(back), b.of(back)
         text = "".join([" " + c for c in own])
         codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         widths = 1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF).astype(np.int64)
