@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paneflow.llm.common import (
+    few_at_a_time,
     numbered_blocks,
     pack_strings,
     packed_blocks,
@@ -106,16 +107,19 @@ def dealt_words(texts: Iterable[str], buckets: int) -> list[list[bytes]]:
     return dealt
 
 
-def word_table(texts: DataFrame, model: bytes, buckets: int) -> DataFrame:
+def word_table(
+    texts: DataFrame, model: bytes, buckets: int, block_bytes: int | None = None
+) -> DataFrame:
     """For every block and bucket the ids of the block's distinct marked words, in the
     order of `dealt_words`, with the decoded form of words that decode to another. The
     words themselves do not travel back: the block knows them, and `check` tells whether
     they are the same."""
     shared = texts.sparkSession.sparkContext.broadcast(model)
+    block_bytes = block_bytes or BLOCK_BYTES
 
     def distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, rows in numbered_blocks(batches, BLOCK_BYTES):
-            found = (t for batch in rows for t in batch.column(1).to_pylist())
+        for block, rows in numbered_blocks(batches, block_bytes):
+            found = (t for batch in few_at_a_time(rows) for t in batch.column(1).to_pylist())
             for bucket, own in enumerate(dealt_words(found, buckets)):
                 if own:
                     yield pa.RecordBatch.from_arrays(
@@ -159,12 +163,16 @@ def encode(
     id_col: str = "doc_id",
     text: str = "text",
     end: bool = True,
+    block_bytes: int | None = None,
+    bucket_bytes: int | None = None,
 ) -> DataFrame:
     """One row per document: its id, `ids` with the end id, and `decoded`, the text that
-    the ids decode to."""
+    the ids decode to. Smaller blocks and buckets than `BLOCK_BYTES` and `BUCKET_BYTES` take
+    less memory and send more words; the result is the same."""
     check_model(model)
+    block_bytes = block_bytes or BLOCK_BYTES
     texts = docs.select(id_col, text_or_empty(text).alias("_text"))
-    buckets = text_blocks(total_bytes(texts, "_text"), BUCKET_BYTES)
+    buckets = text_blocks(total_bytes(texts, "_text"), bucket_bytes or BUCKET_BYTES)
     id_type = docs.schema[id_col].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -174,7 +182,8 @@ def encode(
         ids: dict[str, bytes] = {}
         odd: dict[str, str] = {}
         texts = [unpack(packed.as_py()) for packed in blocks.column("packed")]
-        dealt = dealt_words((t for part in texts for t in part.column(1).to_pylist()), buckets)
+        slices = (b for part in texts for b in few_at_a_time(part.to_batches()))
+        dealt = dealt_words((t for b in slices for t in b.column(1).to_pylist()), buckets)
         for row in table.select(["bucket", "ids", "odd", "check"]).to_pylist():
             words = dealt[row["bucket"]]
             if row["check"] == zlib.crc32(b" ".join(words)):
@@ -182,8 +191,8 @@ def encode(
                 changed = [x.decode() for x in unpack_strings(row["odd"])]
                 odd.update(zip(changed[::2], changed[1::2]))
         del dealt
-        for part in texts:
-            for batch in part.to_batches(2000):
+        while texts:
+            for batch in few_at_a_time(texts.pop(0).to_batches()):
                 yield _joined(batch, ids, odd, closing, own)
 
     def _joined(batch, ids, odd, closing, own) -> pa.RecordBatch:
@@ -213,8 +222,8 @@ def encode(
                  pa.array([], pa.string())], [id_col, "ids", "decoded"])
         return pa.Table.from_batches(batches)
 
-    table = word_table(texts, model, buckets)
+    table = word_table(texts, model, buckets, block_bytes)
     return (
-        packed_blocks(texts, BLOCK_BYTES).groupBy("block").cogroup(table.groupBy("block"))
+        packed_blocks(texts, block_bytes).groupBy("block").cogroup(table.groupBy("block"))
         .applyInArrow(whole, f"`{id_col}` {id_type}, ids array<int>, decoded string")
     )
