@@ -52,7 +52,10 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document of the mix, with the end id."""
-    encoded = sentencepiece_codec.encode(docs, piece_model())
+    # Small blocks: an executor's heap has grown by the stages before.
+    encoded = sentencepiece_codec.encode(
+        docs, piece_model(), block_bytes=8_000_000, bucket_bytes=16 << 20
+    )
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
