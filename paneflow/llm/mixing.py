@@ -1,40 +1,47 @@
 """Mixing sources to target weights by a splitting tree of exact block quotas.
 
-Every source is a stream of its documents in a seeded random order, counted in words.
-The mix takes the first `target` words of that stream, going round a second time if the
-target exceeds the source. Words fall into blocks of `block_words`; a source's quota is
-the number of blocks its target fills. A binary tree over the output shards splits the
-vector of all sources' quotas: each node gives its left half an exact share of blocks by a
-multivariate hypergeometric draw, the rest goes right, down to one shard. Each shard then
-draws its quota of every source from that source's permuted blocks; the draws are disjoint
-intervals of the permutation, and rows are shuffled within the shard by a random key.
-
-Only one row per source is ever on the driver. Positions in a source's stream come from a
-two-level running sum: `BUCKETS` ranges of the random key per source are summed with
+Every source is a stream of its documents in a seeded random order, cut into blocks of
+`block_words` words. A source's target is a number of blocks in each of up to two rounds
+over its stream. A binary tree over the output shards splits the vector of all quotas:
+each node gives its left half an exact share of blocks by a multivariate hypergeometric
+draw, the rest goes right, down to one shard. The blocks that no quota needs are split in
+the same way. So every shard has a run of the permuted blocks of each source and round to
+itself, and draws its quota from the front of that run: which words the mix takes follows
+from the tree, and no two shards draw the same block. Rows are shuffled within the shard
+by a random key.
+
+One row per source is on the driver, with one number more per shard. Positions in a
+source's stream come from a two-level running sum: ranges of the random key are summed with
 map-side combine, and rows are numbered inside their range, so that a source with a third
 of all rows is spread over all tasks.
 
-Where a target ends inside a document, that one document of the source is cut after the
-word that reaches the target; all others are whole. No document is taken more than twice,
-because targets stop at `MOST` times their source.
+The words taken of a source are its target, rounded to a whole number: the last block drawn
+is cut to what the blocks before it leave open. The words after the last whole block of a
+stream belong to no shard's run; only a round that takes the whole source, or more of it
+than its blocks hold, reaches them. A document whose words lie in drawn blocks only is
+whole; one at the edge of a drawn block has lost the words outside. It comes once per
+round, in the shard of its first drawn block. No document is taken more than twice, because
+targets stop at `MOST` times their source.
 
 Defined results: a null text has size 0 and is never taken; null is a source of its own,
 ordered last; an empty table gives an empty mix; a mix of sources without any word takes
-none. Rows that repeat id and text are interchangeable. Other columns stay as they are;
-`shard`, `order_key`, `pass` and `words` are replaced if the input has such columns.
+none. Rows that repeat id and text are interchangeable. A text longer than a block is drawn
+block by block. Other columns stay as they are, whatever their names, but for those that
+begin with `_mix`, which are dropped; `mix` replaces `shard`, `order_key`, `pass` and `words`.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from paneflow.llm.common import SPACE, WORD, n_words, text_or_empty
+from paneflow.llm.common import SPACE, WORD, n_words, text_or_empty, written
 from paneflow.operators.skew import broadcast_if_small
 from paneflow.session import shared_folder
 
@@ -114,22 +121,46 @@ def split_quotas(quotas: Sequence[int], shards: int, seed: int = SEED) -> np.nda
 
 
 def _hypergeometric(rng: np.random.Generator, colours: np.ndarray, n: int) -> np.ndarray:
-    """Multivariate hypergeometric draw, one colour after the other. Draws beyond the
-    range of the generator are cut into exact parts of a billion blocks."""
+    """Multivariate hypergeometric draw, one colour after the other."""
     drawn, rest = np.zeros_like(colours), int(colours.sum())
     for i, have in enumerate(map(int, colours)):
         if n == 0:
             break
         rest -= have
-        if have + rest < 10**9:
-            drawn[i] = rng.hypergeometric(have, rest, n) if have else 0
-        else:
-            mean = n * have / (have + rest)
-            drawn[i] = min(have, n, max(n - rest, round(mean)))
+        drawn[i] = _one_colour(rng, have, rest, n)
         n -= int(drawn[i])
     return drawn
 
 
+def _one_colour(rng: np.random.Generator, have: int, rest: int, n: int) -> int:
+    """How many of `n` blocks drawn from `have + rest` are of the first kind.
+
+    Beyond the range of the generator the probabilities themselves are summed, within
+    twelve standard deviations of the mean; what lies outside is less than rounding.
+    """
+    if have == 0 or rest == 0:
+        return min(have, n)
+    if have + rest < 10**9:
+        return int(rng.hypergeometric(have, rest, n))
+    total = have + rest
+    mean = n * have / total
+    room = 12 * math.sqrt(mean * (rest / total) * ((total - n) / (total - 1))) + 12
+    low = max(0, n - rest, math.floor(mean - room))
+    high = min(n, have, math.ceil(mean + room))
+    k = np.arange(low, high, dtype=np.float64)
+    steps = np.log(have - k) + np.log(n - k) - np.log(k + 1) - np.log(rest - n + k + 1)
+    logs = np.concatenate([[0.0], np.cumsum(steps)])
+    chances = np.cumsum(np.exp(logs - logs.max()))
+    return low + int(np.searchsorted(chances, rng.random() * chances[-1], side="right"))
+
+
+class Plan(NamedTuple):
+    """Rows with their place in the stream of their source, and one row per source."""
+
+    rows: DataFrame
+    sources: DataFrame
+
+
 def plan_mix(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -138,129 +169,187 @@ def plan_mix(
     weights: Sequence[int] = WEIGHTS,
     share: float = SHARE,
     seed: int = SEED,
-) -> DataFrame:
-    """All columns of `docs` and, under the struct `_mix`, what the mix takes of each
-    row: size, source_size, target, rank of the source, start in its stream, words taken
-    in the first and second round, random key."""
-    keyed = docs.withColumn(
-        "_mix",
-        F.struct(
-            F.col(source).alias("source"),
-            n_words(text_or_empty(text)).alias("size"),
-            random_key(id_col, text, seed).alias("key"),
-        ),
-    )
-    keyed = keyed.withColumn("_range", F.substring("_mix.key", 1, BUCKET_DIGITS))
-    sums = keyed.groupBy(F.col("_mix.source").alias("source"), "_range").agg(
-        F.sum("_mix.size").alias("words")
+) -> Plan:
+    """All columns of `docs` and, under the struct `_mix`, of each row: size, source_size,
+    target, rank of the source, start in its stream, random key. Beside it the sources."""
+    columns = [c for c in docs.columns if not c.startswith("_mix")]
+    key = random_key(id_col, text, seed)
+    keyed = docs.select(
+        *columns,
+        F.col(source).alias("_mix_source"),
+        n_words(text_or_empty(text)).alias("_mix_size"),
+        key.alias("_mix_key"),
+        F.substring(key, 1, BUCKET_DIGITS).alias("_mix_range"),
     )
+    sums = keyed.groupBy(F.col("_mix_source").alias("source"), F.col("_mix_range").alias("range"))
+    # At most 16**BUCKET_DIGITS rows per source.
+    sums = written(sums.agg(F.sum("_mix_size").alias("words")), "ranges")
     sizes = sums.groupBy("source").agg(F.sum("words").alias("source_size"))
-    targets = source_targets(sizes, weights, share)
-    before = W.partitionBy("source").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    targets = written(source_targets(sizes, weights, share), "sources")
+    before = W.partitionBy("source").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
     ranges = sums.withColumn("before", F.coalesce(F.sum("words").over(before), F.lit(0)))
     ranges = ranges.join(targets, ranges["source"].eqNullSafe(targets["source"])).select(
-        ranges["source"].alias("_source"), F.col("_range").alias("_of_range"), "before",
-        "source_rank", "source_size", "target", "quota_words",
+        ranges["source"].alias("_mix_of"), F.col("range").alias("_mix_of_range"),
+        F.col("before").alias("_mix_before"),
+        F.struct("source_rank", "source_size", "target", "quota_words").alias("_mix_target"),
     )
-    # The table of ranges is small: at most 16**BUCKET_DIGITS rows per source.
-    inside = W.partitionBy("_mix.source", "_range").orderBy("_mix.key").rowsBetween(
+    inside = W.partitionBy("_mix_source", "_mix_range").orderBy("_mix_key").rowsBetween(
         W.unboundedPreceding, -1
     )
-    placed = keyed.withColumn("_inside", F.coalesce(F.sum("_mix.size").over(inside), F.lit(0)))
+    placed = keyed.withColumn("_mix_inside", F.coalesce(F.sum("_mix_size").over(inside), F.lit(0)))
     placed = placed.join(
         ranges,
-        placed["_mix.source"].eqNullSafe(ranges["_source"])
-        & (placed["_range"] == ranges["_of_range"]),
+        F.col("_mix_source").eqNullSafe(F.col("_mix_of"))
+        & (F.col("_mix_range") == F.col("_mix_of_range")),
     )
-    start = F.col("before") + F.col("_inside")
-    size, quota = F.col("_mix.size"), F.col("quota_words")
-
-    def overlap(limit: Column) -> Column:
-        return F.greatest(F.lit(0), F.least(start + size, limit) - start).cast("long")
-
-    mix = F.struct(
-        size.alias("size"),
-        F.col("source_size"),
-        F.col("target"),
-        F.col("source_rank"),
-        F.col("quota_words"),
-        start.cast("long").alias("start"),
-        overlap(F.least(quota, F.col("source_size"))).alias("first"),
-        overlap(quota - F.col("source_size")).alias("second"),
-        F.col("_mix.key").alias("key"),
+    place = F.struct(
+        F.col("_mix_size").alias("size"),
+        *[F.col(f"_mix_target.{c}") for c in ("source_size", "target", "source_rank", "quota_words")],
+        (F.col("_mix_before") + F.col("_mix_inside")).cast("long").alias("start"),
+        F.col("_mix_key").alias("key"),
     )
-    return placed.select(*[F.col(c) for c in docs.columns if c != "_mix"], mix.alias("_mix"))
+    return Plan(placed.select(*columns, place.alias("_mix")), targets)
+
+
+def round_quota(size: int, words: int, block_words: int) -> tuple[int, int, int, int]:
+    """One round over a source of `size` words that takes `words`: its whole blocks, how
+    many of them are drawn, words of the last one drawn, words of the stream's end."""
+    whole, drawn = size // block_words, words // block_words
+    if drawn >= whole:
+        return whole, whole, block_words, words - whole * block_words
+    last = words - drawn * block_words
+    return whole, drawn + (last > 0), last or block_words, 0
+
+
+def draw_recipe(
+    sources: Sequence[tuple[int, int, int]], shards: int, block_words: int, seed: int
+) -> list[tuple]:
+    """For each rank, size and quota in words: the draws of its two rounds. A draw holds
+    the permutation of blocks, of every shard the start of its run (`starts`) and the end
+    of what it draws of it (`ends`), and the last block drawn with the words it gives."""
+    rounds = [
+        (rank, number, *round_quota(size, min(max(quota - number * size, 0), size), block_words))
+        for rank, size, quota in sources
+        for number in range(MOST)
+    ]
+    quotas = split_quotas([r[3] for r in rounds], shards, seed)
+    spare = split_quotas([r[2] - r[3] for r in rounds], shards, seed + 1)
+    runs = np.cumsum(quotas + spare, axis=0) - quotas - spare
+    draws: dict[int, list[tuple]] = {}
+    for i, (rank, number, whole, _, last_words, end_words) in enumerate(rounds):
+        step, shift = _permutation(whole, seed + MOST * rank + number)
+        ends = runs[:, i] + quotas[:, i]
+        filled = np.nonzero(quotas[:, i])[0]
+        last = int(ends[filled[-1]]) - 1 if len(filled) else -1
+        draws.setdefault(rank, []).append(
+            (number, whole, step, shift, runs[:, i].tolist(), ends.tolist(), last, last_words,
+             end_words, (rank + number) % shards)
+        )
+    return list(draws.items())
 
 
-def first_words(text: Column, n: Column) -> Column:
-    """The text up to the end of its n-th word."""
-    words = F.regexp_extract_all(text, F.lit(rf"{SPACE}*{WORD}+"), F.lit(0))
-    return F.array_join(F.slice(words, 1, n.cast("int")), "")
+DRAWS = (
+    "_mix_rank int, _mix_draws array<struct<number int, whole long, step long, shift long, "
+    "starts array<long>, ends array<long>, last long, last_words long, end_words long, end_shard int>>"
+)
 
 
 def deal(
-    planned: DataFrame,
+    plan: Plan,
     shards: int = SHARDS,
     block_words: int = BLOCK_WORDS,
     seed: int = SEED,
 ) -> DataFrame:
-    """Add `_rounds` to the rows of `plan_mix`: for each round that takes the document
-    its `pass` (0 or 1), the `words` taken and the `shard` whose quota they fill."""
-    spark = planned.sparkSession
-    per_source = planned.groupBy("_mix.source_rank").agg(F.max("_mix.quota_words").alias("quota"))
-    recipe = sorted((r["source_rank"], r["quota"]) for r in per_source.collect())
-    blocks = [-(-quota // block_words) for _, quota in recipe]
-    cuts = np.cumsum(split_quotas(blocks, shards, seed), axis=0) if recipe else []
-    rows = []
-    for i, (rank, _) in enumerate(recipe):
-        step, shift = _permutation(blocks[i], seed + rank)
-        rows.append((rank, max(blocks[i], 1), step, shift, [int(c) for c in cuts[:, i]]))
-    table = spark.createDataFrame(
-        rows, "_rank int, _blocks long, _step long, _shift long, _cuts array<long>"
+    """Add `_mix_rounds` to the rows of the plan: for each round that takes the document its
+    `pass` (0 or 1), the `words` taken, the `shard` that draws them first, and `ranges`."""
+    spark = plan.rows.sparkSession
+    found = plan.sources.select("source_rank", "source_size", "quota_words").collect()
+    recipe = draw_recipe(sorted(map(tuple, found)), shards, block_words, seed)
+    table = spark.createDataFrame(recipe, DRAWS)
+    # A source's part of the table is a few numbers and two more per shard and round.
+    dealt = plan.rows.join(
+        broadcast_if_small(table, 2 * MOST * len(recipe) * shards),
+        F.col("_mix.source_rank") == F.col("_mix_rank"),
     )
-    # A source's part of the table is a few numbers and one more per shard.
-    dealt = planned.join(
-        broadcast_if_small(table, len(rows) * shards), F.col("_mix.source_rank") == F.col("_rank")
-    )
-
-    def one_round(number: int, words: str, offset: Column) -> Column:
-        block = F.floor((F.col("_mix.start") + offset) / block_words)
-        permuted = (block * F.col("_step") + F.col("_shift")) % F.col("_blocks")
-        shard = F.size(F.filter("_cuts", lambda c: c <= permuted))
+    start, size = F.col("_mix.start"), F.col("_mix.size")
+    blocks = F.when(
+        size > 0,
+        F.sequence(
+            F.floor(start / block_words).cast("long"),
+            F.floor((start + size - 1) / block_words).cast("long"),
+        ),
+    ).otherwise(F.array().cast("array<long>"))
+
+    def drawn(draw: Column, block: Column) -> Column:
+        """What one draw takes of a block: place within the document, words, shard."""
+        permuted = (block * draw["step"] + draw["shift"]) % F.greatest(draw["whole"], F.lit(1))
+        shard = F.size(F.filter(draw["starts"], lambda at: at <= permuted)) - 1
+        given = F.when(block >= draw["whole"], draw["end_words"]).otherwise(
+            F.when(permuted >= F.get(draw["ends"], shard), 0)
+            .when(permuted == draw["last"], draw["last_words"])
+            .otherwise(block_words)
+        )
+        first = F.greatest(block * block_words, start)
+        until = F.least(block * block_words + given, start + size)
         return F.struct(
-            F.lit(number).alias("pass"),
-            F.col(f"_mix.{words}").alias("words"),
-            F.when(shard < shards, shard).cast("int").alias("shard"),
+            (first - start).alias("at"),
+            F.greatest(until - first, F.lit(0)).cast("long").alias("words"),
+            F.when(block >= draw["whole"], draw["end_shard"]).otherwise(shard).alias("shard"),
         )
 
-    rounds = F.array(
-        one_round(0, "first", F.lit(0)), one_round(1, "second", F.col("_mix.source_size"))
+    def one_round(draw: Column) -> Column:
+        ranges = F.filter(
+            F.transform(blocks, lambda block: drawn(draw, block)), lambda r: r["words"] > 0
+        )
+        return F.struct(draw["number"].alias("pass"), ranges.alias("ranges"))
+
+    rounds = F.filter(F.transform("_mix_draws", one_round), lambda r: F.size(r["ranges"]) > 0)
+    rounds = F.transform(
+        rounds,
+        lambda r: F.struct(
+            r["pass"].alias("pass"),
+            F.aggregate(r["ranges"], F.lit(0).cast("long"), lambda n, x: n + x["words"]).alias("words"),
+            F.get(r["ranges"], F.lit(0))["shard"].alias("shard"),
+            r["ranges"].alias("ranges"),
+        ),
     )
-    rounds = F.filter(rounds, lambda r: r["words"] > 0)
-    return dealt.withColumn("_rounds", rounds).drop("_rank", "_blocks", "_step", "_shift", "_cuts")
+    return dealt.withColumn("_mix_rounds", rounds).drop("_mix_rank", "_mix_draws")
 
 
 def taken_words() -> Column:
     """Words that the shards draw from a row of `deal`."""
-    drawn = F.filter("_rounds", lambda r: r["shard"].isNotNull())
-    return F.aggregate(drawn, F.lit(0).cast("long"), lambda total, r: total + r["words"])
+    return F.aggregate("_mix_rounds", F.lit(0).cast("long"), lambda total, r: total + r["words"])
+
+
+def drawing_shards() -> Column:
+    """The shards that a row of `deal` goes to, one per round that takes it."""
+    return F.concat_ws(",", F.transform("_mix_rounds", lambda r: r["shard"].cast("string")))
+
+
+def words_in(text: Column, ranges: Column) -> Column:
+    """The words of the text that lie in the ranges, each with the space before it."""
+    words = F.regexp_extract_all(text, F.lit(rf"{SPACE}*{WORD}+"), F.lit(0))
+    parts = F.transform(
+        ranges, lambda r: F.slice(words, (r["at"] + 1).cast("int"), r["words"].cast("int"))
+    )
+    return F.array_join(F.flatten(parts), "")
 
 
 def mix(dealt: DataFrame, text: str = "text") -> DataFrame:
     """Rows of the mix from `deal`: a document comes once per round in which it is taken,
     with `words`, `pass`, `shard` and its `order_key` within the shard."""
-    out = dealt.withColumn("_round", F.explode("_rounds"))
-    cut = F.col("_round.words") < F.col("_mix.size")
+    out = dealt.withColumn("_mix_round", F.explode("_mix_rounds"))
+    cut = F.col("_mix_round.words") < F.col("_mix.size")
     out = out.withColumns(
         {
-            text: F.when(cut, first_words(F.col(text), F.col("_round.words"))).otherwise(F.col(text)),
-            "shard": F.col("_round.shard"),
-            "order_key": F.md5(F.concat("_mix.key", F.col("_round.pass").cast("string"))),
-            "pass": F.col("_round.pass"),
-            "words": F.col("_round.words"),
+            text: F.when(cut, words_in(F.col(text), F.col("_mix_round.ranges"))).otherwise(F.col(text)),
+            "shard": F.col("_mix_round.shard"),
+            "order_key": F.md5(F.concat("_mix.key", F.col("_mix_round.pass").cast("string"))),
+            "pass": F.col("_mix_round.pass"),
+            "words": F.col("_mix_round.words"),
         }
     )
-    return out.drop("_round", "_rounds", "_mix")
+    return out.drop("_mix_round", "_mix_rounds", "_mix")
 
 
 def _permutation(n: int, seed: int) -> tuple[int, int]:
@@ -277,7 +366,7 @@ def write_shards(mixed: DataFrame, path: str | None = None) -> str:
     """Write the mix, one folder per shard, rows shuffled within it."""
     path = path or shared_folder(mixed.sparkSession, "mix")
     (
-        mixed.repartition("shard")
+        mixed.repartitionByRange("shard", "order_key")
         .sortWithinPartitions("shard", "order_key")
         .write.partitionBy("shard")
         .parquet(path)

@@ -20,42 +20,6 @@ SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
 FROM p
 """
 
-OP7 = r"""
-WITH d AS (
-  SELECT doc_id, source, coalesce(text, '') AS t,
-         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
-  FROM documents
-), k AS (
-  SELECT *, md5('20240601|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(t)) AS key FROM d
-), s AS (
-  SELECT source, sum(size)::BIGINT AS source_size,
-         row_number() OVER (ORDER BY source IS NULL, source) - 1 AS rank
-  FROM k GROUP BY source
-), w AS (
-  SELECT *, [5, 2, 1][rank % 3 + 1] AS weight, source_size * 2 AS cap FROM s
-), f AS (
-  SELECT *, cap / weight AS fills_at,
-    (sum(source_size) OVER ()::DOUBLE * 1.5::DOUBLE - coalesce(sum(cap) OVER b, 0)::DOUBLE)
-    / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0))::DOUBLE AS level
-  FROM w
-  WINDOW b AS (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-), l AS (
-  SELECT arg_min(level, (fills_at, rank)) AS level FROM f WHERE fills_at >= level
-), t AS (
-  SELECT source, source_size, least(cap::DOUBLE, coalesce(l.level * weight, cap::DOUBLE)) AS target
-  FROM f LEFT JOIN l ON true
-), p AS (
-  SELECT k.doc_id, k.size, t.source_size, t.target, round(t.target)::BIGINT AS quota,
-    coalesce(sum(k.size) OVER (PARTITION BY k.source ORDER BY k.key
-      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
-  FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source
-)
-SELECT doc_id, size, source_size, target,
-  (greatest(0, least(start + size, least(quota, source_size)) - start)
-   + greatest(0, least(start + size, quota - source_size) - start))::BIGINT AS taken
-FROM p
-"""
-
 OP9 = f"""
 WITH u AS (
   SELECT page_id, CASE WHEN contains(url, '://')
@@ -184,7 +148,6 @@ FROM sizes s JOIN below b USING (node) LEFT JOIN nodes u ON s.depth > 0 AND u.no
 ORACLES = {
     "op1_warc_revisits": OP1,
     "op6_embedding_dedup": OP6,
-    "op7_mixing": OP7,
     "op8_ngram_join": OP8,
     "op9_url_filter": OP9,
     "op10_exact_dedup": OP10,

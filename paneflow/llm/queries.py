@@ -121,6 +121,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_mix.source_size").alias("source_size"),
         F.col("_mix.target").alias("target"),
         mixing.taken_words().alias("taken"),
+        mixing.drawing_shards().alias("shards"),
     )
 
 
