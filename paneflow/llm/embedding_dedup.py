@@ -2,22 +2,30 @@
 
 Equal vectors of a label are collapsed first. A bounded sample gives coarse centroids and,
 for the residuals, `SUBSPACES` codebooks; every vector is indexed under the centroid it is
-nearest to. A vector then looks into all lists that can hold a neighbour: two vectors at
-distance d or less lie on sides of the bisector of their centroids that are at most d
-apart, which bounds the lists exactly. In a list, distances come from lookup tables of the
-codes; a vector is passed over only if its table distance less its own quantisation error
-exceeds the link distance, so no link is lost. What remains is compared by exact cosine in
-double precision. Recall is 1 by construction, whatever the sample.
+nearest to, and a vector looks into the lists that can hold a neighbour. Two vectors at
+distance d lie on sides of the bisector of their centroids that are at most d apart, and
+only if they differ along the line between the centroids alone. In n dimensions the part of
+a difference along a line has a spread of d / sqrt(n), so a list is probed if the bisector
+is within `SPREADS` of these spreads, or within d where that is less. Up to
+`SPREADS` ** 2 dimensions no link is lost; beyond, a link of just the threshold is lost if
+its difference points along such a line by more than that, and closer ones more rarely.
+The tests measure recall against brute force. A pair counts if each of its vectors probes
+the list of the other, so links are the same seen from both.
+
+In a list, distances come from lookup tables of the codes; a vector is passed over only if
+its table distance less its own quantisation error exceeds the link distance, which loses
+no link. What remains is compared by exact cosine in double precision.
 
 Lists are cut into blocks of `BLOCK_ROWS`, queries as well, and every pair of blocks is a
 task of its own, so a list with a third of all vectors is spread out. A block pair returns
 numbers of links and a spanning forest of its links, never the pairs themselves.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components, and
-vectors without a label, link with nothing; so do vectors whose length is not the most
-frequent one of the sample. Rows with the same id count as one vector in components. A
-null id has a null component and is kept. An empty table gives an empty result. Only id,
-vector and label are read.
+vectors without a label, link with nothing. Vectors of different lengths do not link; every
+length has an index and jobs of its own, whatever the others. Rows with the same id count
+as one vector in components. A null id has a null component and is kept. Ties in the
+nearest centroid go to the first. An empty table gives an empty result. Only id, vector and
+label are read.
 """
 
 from __future__ import annotations
@@ -40,6 +48,8 @@ SUBSPACES = 16
 CODES = 256
 BLOCK_ROWS = 2048
 SEED = 17
+# How far beyond a bisector lists are probed.
+SPREADS = 3.0
 # Room for rounding in single-precision bounds.
 SLACK = 1e-4
 
@@ -63,6 +73,12 @@ class Index:
         )
         return square.argmin(1), square
 
+    def gaps(self) -> np.ndarray:
+        """Distances between all centroids."""
+        own = (self.centroids**2).sum(1)
+        square = own[:, None] + own[None, :] - 2 * self.centroids @ self.centroids.T
+        return np.sqrt(np.maximum(square, 0))
+
     def encode(self, residual: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes of residuals, and the distance between each residual and its code."""
         parts = residual.reshape(len(residual), len(self.codebooks), -1)
@@ -93,7 +109,7 @@ def k_means(points: np.ndarray, k: int, rng: np.random.Generator, rounds: int =
 def fit(sample: np.ndarray, n_vectors: int) -> Index:
     """Index for unit vectors; the number of centroids follows the table's size."""
     rng = np.random.default_rng(SEED)
-    k = min(MOST_CENTROIDS, max(1, len(sample) // 16), max(1, math.isqrt(n_vectors) // 4))
+    k = min(MOST_CENTROIDS, max(1, len(sample) // 16), max(1, math.isqrt(n_vectors)))
     centroids = k_means(sample, k, rng)
     index = Index(centroids, np.zeros((1, 1, sample.shape[1])))
     residual = sample - centroids[index.nearest(sample)[0]]
@@ -126,18 +142,28 @@ def unit_rows(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled**2).sum(axis=1, keepdims=True))
 
 
+def margin(dims: int, threshold: float) -> float:
+    """How far from the bisector with another centroid its list is still probed."""
+    return math.sqrt(2 - 2 * threshold) * min(1.0, SPREADS / math.sqrt(dims)) + SLACK
+
+
+def probes(square: np.ndarray, cell: np.ndarray, gaps: np.ndarray, width: float) -> np.ndarray:
+    """Which lists each row looks into, its own included: those whose bisector with the
+    row's centroid is no farther than `width`."""
+    best = square[np.arange(len(square)), cell]
+    return square - best[:, None] <= 2 * width * gaps[cell] + SLACK
+
+
 def placed(vectors: DataFrame, index: Index, threshold: float) -> DataFrame:
-    """Rows of lists: a `member` row under the nearest centroid, and a `query` row for
-    every list that can hold a vector within the link distance."""
+    """Rows of lists: a `member` row under the nearest centroid, its `home`, and a `query`
+    row for every list it probes."""
     shared = vectors.sparkSession.sparkContext.broadcast((index.centroids, index.codebooks))
-    reach = math.sqrt(2 - 2 * threshold) + SLACK
-    schema = "cell int, label string, member boolean, node long, copies long, vector binary, code binary, error double"
+    width = margin(index.dims, threshold)
+    schema = "cell int, home int, label string, member boolean, node long, copies long, vector binary, code binary, error double"
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Index(*shared.value)
-        gaps = np.sqrt(
-            ((own.centroids[:, None, :] - own.centroids[None, :, :]) ** 2).sum(2)
-        ) if len(own.centroids) <= 512 else None
+        gaps = own.gaps()
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
@@ -147,19 +173,13 @@ def placed(vectors: DataFrame, index: Index, threshold: float) -> DataFrame:
                 unit = unit_rows(vectors)
                 cell, square = own.nearest(unit)
                 code, error = own.encode(unit - own.centroids[cell])
-                best = square[np.arange(len(unit)), cell]
-                if gaps is not None:
-                    gap = gaps[cell]
-                else:
-                    gap = np.sqrt(((own.centroids[cell][:, None] - own.centroids[None]) ** 2).sum(2))
-                # Distance to the bisector of the own and every other centroid.
-                beyond = square - best[:, None] <= 2 * reach * gap + SLACK
-                row, probe = np.nonzero(beyond)
+                row, probe = np.nonzero(probes(square, cell, gaps, width))
                 n, take = part.num_rows, pa.array(row)
                 raw = pa.array([v.tobytes() for v in unit], pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate([cell, probe]).astype(np.int32)),
+                        pa.array(np.concatenate([cell, cell[row]]).astype(np.int32)),
                         pa.concat_arrays([part.column("label"), part.column("label").take(take)]),
                         pa.array(np.arange(n + len(row)) < n),
                         pa.concat_arrays([part.column("node"), part.column("node").take(take)]),
@@ -235,6 +255,7 @@ def links(rows: DataFrame, index: Index, threshold: float) -> DataFrame:
     and `a`, `b`, 0 for edges of the spanning forest of its links."""
     shared = rows.sparkSession.sparkContext.broadcast((index.centroids, index.codebooks))
     reach = math.sqrt(2 - 2 * threshold) + SLACK
+    width = margin(index.dims, threshold)
 
     def compare(block: pa.Table) -> pa.Table:
         own = Index(*shared.value)
@@ -252,10 +273,17 @@ def links(rows: DataFrame, index: Index, threshold: float) -> DataFrame:
         out_b: list[int | None] = []
         out_n: list[int] = []
         edges: list[tuple[int, int]] = []
-        centre = own.centroids[block.column("cell")[0].as_py()]
+        cell = block.column("cell")[0].as_py()
+        centre, home = own.centroids[cell], block.column("home").to_numpy()
+        # A member answers only the queries whose own list it would probe itself.
+        homes, home_of = np.unique(home[q], return_inverse=True)
+        near = Index(own.centroids[np.concatenate([homes, [cell]])], own.codebooks)
+        members_cell = np.full(len(m), len(homes))
+        answers = probes(near.nearest(unit[m])[1], members_cell, near.gaps(), width)
         for at in range(0, len(q) if len(m) else 0, 64):
             asked = q[at:at + 64]
             maybe = table_candidates(own, unit[asked] - centre, code, error, reach)
+            maybe &= answers[:, home_of[at:at + 64]].T
             i, j = np.nonzero(maybe)
             apart = node[asked[i]] != node[m[j]]
             i, j = asked[i[apart]], m[j[apart]]
@@ -287,41 +315,39 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per input row: its id, `n_links`, `component_id`, `kept`."""
     groups = written(distinct_vectors(rows, id_col, vector, label), "vectors")
-    sample = groups.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("vector").collect()
-    lengths = [len(r["vector"]) for r in sample]
     base = rows.select(
         F.col(id_col).alias("vec_id"), F.col(label).alias("_label"),
         F.col(vector).cast("array<double>").alias("_vector"),
     )
-    if not lengths:
-        return base.select(
-            "vec_id", F.lit(0).cast("long").alias("n_links"),
-            F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"),
-        )
-    dims = max(sorted(set(lengths)), key=lengths.count)
-    index = fit(
-        unit_rows(np.array([r["vector"] for r in sample if len(r["vector"]) == dims])),
-        groups.count(),
-    )
-    fitting = groups.filter((F.size("vector") == dims) & F.col("node").isNotNull())
-    found = written(links(in_blocks(placed(fitting, index, threshold)), index, threshold), "links")
+    # One row per length of vector, of which a table has one or few.
+    lengths = groups.filter("node IS NOT NULL").groupBy(F.size("vector").alias("dims")).count()
+    found = rows.sparkSession.createDataFrame([], "a long, b long, n long")
+    for dims, n_vectors in sorted(map(tuple, lengths.collect())):
+        own = groups.filter(F.size("vector") == dims)
+        found = found.unionByName(written(links_of_length(own, n_vectors, threshold), "links"))
     counts = found.filter("b IS NULL").groupBy("a").agg(F.sum("n").alias("_others"))
     parts = connected_components(found.filter("b IS NOT NULL").select("a", "b"))
     solved = (
         groups.join(counts, groups["node"] == counts["a"], "left")
         .join(parts, "node", "left")
         .select(
-            "label", "vector", "copies", "_others",
+            "label", "vector",
+            (F.coalesce("_others", F.lit(0)) + F.col("copies") - 1).alias("_links"),
             F.coalesce("component", "node").alias("_component"),
-            (F.size("vector") == dims).alias("_fits"),
         )
     )
     same = (base["_label"] == solved["label"]) & (base["_vector"] == solved["vector"])
-    n_links = F.when(F.col("_fits"), F.coalesce("_others", F.lit(0)) + F.col("copies") - 1)
-    component = F.when(F.col("_fits"), F.col("_component"))
     joined = base.join(solved, same, "left").select(
         "vec_id",
-        F.coalesce(n_links, F.lit(0)).cast("long").alias("n_links"),
-        F.when(F.col("vec_id").isNotNull(), F.coalesce(component, "vec_id")).alias("component_id"),
+        F.coalesce("_links", F.lit(0)).cast("long").alias("n_links"),
+        F.when(F.col("vec_id").isNotNull(), F.coalesce("_component", "vec_id")).alias("component_id"),
     )
     return joined.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
+def links_of_length(groups: DataFrame, n_vectors: int, threshold: float) -> DataFrame:
+    """Links among distinct vectors that all have one length, through an index of theirs."""
+    fitting = groups.filter(F.col("node").isNotNull())
+    sample = fitting.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("vector").collect()
+    index = fit(unit_rows(np.array([r["vector"] for r in sample])), n_vectors)
+    return links(in_blocks(placed(fitting, index, threshold)), index, threshold)

@@ -114,6 +114,45 @@ def test_vectors(spark, monkeypatch):
     assert embedding_dedup.near_duplicates(frame.filter("label IS NULL")).count() == 1
 
 
+def test_every_length_links(spark):
+    rows = [(i, [1.0, 2.0, 3.0, 4.0], 0) for i in range(5)] + [(5, [1.0, 2.0], 0), (6, [2.0, 4.0], 0), (7, [2.0, -1.0], 0)]
+    rows += [(8 + i, [float(x) for x in np.eye(40)[i % 2]], 0) for i in range(4)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(frame).collect()}
+    want = {i: (4, 0) for i in range(5)} | {5: (1, 5), 6: (1, 5), 7: (0, 7), 8: (1, 8), 9: (1, 9), 10: (1, 8), 11: (1, 9)}
+    assert got == want
+
+
+def test_recall_and_probes_on_planted_vectors(spark):
+    """6,000 vectors of 64 dimensions, half in clusters, half without structure, 1,500 of
+    them near copies just above the threshold, where the index can miss most."""
+    rng, dims = np.random.default_rng(6), 64
+    centres = rng.normal(size=(100, dims))
+    base = np.concatenate([centres[rng.integers(0, 100, 2250)] + 0.7 * rng.normal(size=(2250, dims)),
+                           rng.normal(size=(2250, dims))])
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    source = base[::3]
+    turn = rng.normal(size=source.shape)
+    turn -= (turn * source).sum(1)[:, None] * source
+    turn /= np.linalg.norm(turn, axis=1)[:, None]
+    cosine = rng.uniform(0.932, 0.97, size=(len(source), 1))
+    unit = np.concatenate([base, cosine * source + np.sqrt(1 - cosine**2) * turn])
+    links = np.argwhere(np.triu(unit @ unit.T >= 0.93, 1))
+    degree = np.bincount(links.ravel(), minlength=len(unit))
+    frame = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(unit)],
+                                  "vec_id long, embedding array<double>, label int").repartition(4)
+    got = {r.vec_id: r for r in embedding_dedup.near_duplicates(frame).collect()}
+    found = np.array([got[i].n_links for i in range(len(unit))])
+    assert (found <= degree).all() and found.sum() % 2 == 0
+    assert len(links) >= 1500 and found.sum() >= 0.99 * degree.sum()
+    real = components(range(len(unit)), links.tolist())
+    assert np.mean([got[i].component_id == real[i] for i in got]) > 0.98
+    index = embedding_dedup.fit(embedding_dedup.unit_rows(unit), len(unit))
+    cell, square = index.nearest(unit)
+    share = embedding_dedup.probes(square, cell, index.gaps(), embedding_dedup.margin(dims, 0.93)).mean()
+    assert share < 0.1
+
+
 def test_components(spark):
     rng = random.Random(2)
     path = [(i, i + 1) for i in range(100, 160)]
