@@ -2,6 +2,12 @@
 
 Every stage takes what its predecessor kept, and its result is written to the folder that
 all executors share before the next one reads it.
+
+Every stage takes null and empty texts, repeated rows and ids, and empty tables: toxicity
+scores a null text as an empty one and keeps or drops all rows of equal text alike; exact
+dedup keeps one null or empty text; the n-gram join links no text without words; the mix
+takes no text without words, so the last stage has none. Columns besides those of
+`documents` are left behind by the first stage.
 """
 
 from __future__ import annotations
@@ -33,20 +39,24 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that near-duplicate links connect, the one with the smallest id stays."""
+    """Of documents that near-duplicate links connect, the one with the smallest id stays.
+
+    An id that several rows share names no single text: such rows all stay, and so do rows
+    without an id, as no text may be lost with another's.
+    """
     found = ngram_join.near_duplicates(docs)
-    dropped = written(
-        found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_dropped")).distinct(),
-        "dropped",
+    ids = found.groupBy(F.col("doc_id").alias("_dropped")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min("component_id").alias("_stays")
     )
+    dropped = written(ids.filter("_rows = 1 AND _dropped <> _stays").select("_dropped"), "dropped")
     dropped = broadcast_if_small(dropped, dropped.count())
     return docs.join(dropped, F.col("doc_id") == F.col("_dropped"), "left_anti").select(*COLUMNS)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix of all sources; a document comes once per round that takes it."""
+    """The mix of all sources; a document comes once per round in which shards draw it."""
     mixed = mixing.mix(mixing.deal(mixing.plan_mix(docs)))
-    # The one document of a source that its target cuts has become shorter.
+    # A document at the edge of a drawn block has become shorter.
     return mixed.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
