@@ -5,7 +5,7 @@ all executors share before the next one reads it.
 
 Every stage takes null and empty texts, repeated rows and ids, and empty tables: toxicity
 scores a null text as an empty one and keeps or drops all rows of equal text alike; exact
-dedup keeps one null or empty text; the n-gram join links no text without words; the mix
+dedup keeps one null or empty text, and all rows that repeat an id and its text; the n-gram join links no text without words; the mix
 takes no text without words, so the last stage has none. Columns besides those of
 `documents` are left behind by the first stage.
 """
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paneflow.llm import exact_dedup, mixing, ngram_join, sentencepiece_codec, toxicity
-from paneflow.llm.common import read_table, written
+from paneflow.llm.common import read_table, text_or_empty, written
 from paneflow.llm.queries import piece_model
 from paneflow.operators.skew import broadcast_if_small
 
@@ -41,14 +41,14 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that near-duplicate links connect, the one with the smallest id stays.
 
-    An id that several rows share names no single text: such rows all stay, and so do rows
-    without an id, as no text may be lost with another's.
+    An id that different texts share names neither of them: such rows all stay, and so do
+    rows without an id, as no text may be lost with another's.
     """
     found = ngram_join.near_duplicates(docs)
-    ids = found.groupBy(F.col("doc_id").alias("_dropped")).agg(
-        F.count(F.lit(1)).alias("_rows"), F.min("component_id").alias("_stays")
-    )
-    dropped = written(ids.filter("_rows = 1 AND _dropped <> _stays").select("_dropped"), "dropped")
+    text = F.md5(text_or_empty())
+    single = docs.groupBy(F.col("doc_id").alias("_dropped")).agg((F.min(text) == F.max(text)).alias("_one"))
+    linked = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_dropped")).distinct()
+    dropped = written(linked.join(single.filter("_one").select("_dropped"), "_dropped", "left_semi"), "dropped")
     dropped = broadcast_if_small(dropped, dropped.count())
     return docs.join(dropped, F.col("doc_id") == F.col("_dropped"), "left_anti").select(*COLUMNS)
 
