@@ -2,51 +2,55 @@
 
 Restaurants, from the most specific to the most general:
 
-* one per context word, for the `CONTEXTS` most frequent training words and the start of a
-  text: customers are the tokens that follow it;
-* the root, shared by all of them: its customers are the tables of the context restaurants
-  and the tokens after any other word;
+* one per context, which is any word seen in the learnt texts, or the start of a text: its
+  customers are the tokens that follow it;
+* the root, shared by all of them: its customers are the tables of all context restaurants;
 * spelling, the base of the root: each root table spells its word, byte by byte and with a
   closing symbol, in restaurants of two preceding symbols, which share parents of one
-  symbol, of none, and the uniform distribution. So every word has a probability.
-
-Seating is sampled by Gibbs sweeps. In a sweep the number of tables of every dish is drawn
-from its conditional given the parent's predictive probability and the other tables of its
-restaurant: exactly for up to `EXACT` customers, by generalised Stirling numbers; for more,
-the rest sit down in growing groups. Words are dealt to buckets by hash, so that all
-restaurants of a word meet in one task and root customers follow from context tables
-without a shuffle. Only totals per restaurant and counts of byte triples leave a task,
-and are one sweep old in the next, the usual approximation for parallel samplers. The
-predictive probabilities of `SAMPLES` sweeps after `BURN_IN` are averaged.
-
-Counts cover all learnt documents. The table of words and contexts is never on the driver;
-the spelling model is, and is broadcast: it has at most 258 * 258 * 257 entries, whatever the
-data. Texts travel once, packed in blocks, to meet the probabilities of their own words.
+  symbol, of none, and the uniform distribution. Words that were never learnt are one kind
+  of token, with the mass that spelling leaves to all of them together.
+
+Seating is sampled by Gibbs sweeps (see `seating`). Given an auxiliary variable of each
+context and drawn masses of the root's words, the tables of all pairs of context and word are
+independent, so pairs are dealt to buckets by a hash of both: no frequent word or context
+meets in one task. A sweep is two exchanges. A word bucket sums the tables that pairs report
+for its words, as contexts and as words, seats the root, and draws the variables; a pair
+bucket draws its tables from them. Pairs seen once always have one table, and are reported
+once. Two things are means instead of draws: what words get from the share of the root that is
+on no table, and the spelling, which is one sweep old. The predictive probabilities of
+`SAMPLES` sweeps after `BURN_IN` are averaged.
+
+Texts are split once. A block becomes numbers of its own words; word buckets answer with
+the words' places and counts, later with their probabilities, pair buckets with counts and
+tables of the block's pairs. The tables of words and pairs are never on the driver; the
+spelling model is, and is broadcast: it has at most 258 * 258 * 257 entries.
 
 Defined results: a null text is empty; an empty text has its end token; rows that repeat
-count and score alike; with nothing to learn from, all counts are 0, every
-token is of the unknown kind and the score is 0; an empty table gives an empty result. Only the id, the text and the
-`learn` condition are read.
+count and score alike; a text longer than a block is a block of its own; with nothing to
+learn from, all counts are 0, every token is of the unknown kind and the score is 0; an
+empty table gives an empty result. Only the id, the text and the `learn` condition are read.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import zlib
-from collections import Counter
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
-from operator import add
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paneflow.llm.common import (
+    few_at_a_time,
+    numbered_blocks,
     pack,
     pack_strings,
-    packed_blocks,
     text_blocks,
     text_or_empty,
     total_bytes,
@@ -54,10 +58,9 @@ from paneflow.llm.common import (
     unpack_strings,
     written,
 )
+from paneflow.llm.seating import scale, seat
 
-CONTEXTS = 100
 BURN_IN, SAMPLES = 2, 2
-EXACT = 24
 STRENGTH = {"context": 5.0, "root": 10.0, "spelling": 2.0}
 SPELLING_DISCOUNT = 0.5
 BLOCK_BYTES = 12_000_000
@@ -66,8 +69,8 @@ SEED = 4
 # Symbols of the spelling: bytes, the end of a word, the place before a word.
 _END, _BEFORE, _SYMBOLS = 256, 257, 257
 _WIDE = 258
-# The end of a text, as a word: no word is empty.
-TEXT_END = b""
+# The end of a text is a word, and its start a context: no word is empty or a space.
+TEXT_END, TEXT_START = b"", b" "
 
 
 def words_of(text: str) -> list[bytes]:
@@ -130,57 +133,7 @@ def uniform_spelling() -> Spelling:
     )
 
 
-# Seating
-
-
-def stirling(discount: float, most: int = EXACT) -> np.ndarray:
-    """Logarithms of the generalised Stirling numbers, customers by tables."""
-    table = np.full((most + 1, most + 1), -np.inf)
-    table[0, 0] = 0.0
-    for c in range(most):
-        for t in range(1, c + 2):
-            stay = table[c, t] + math.log(c - t * discount) if t <= c else -np.inf
-            table[c + 1, t] = np.logaddexp(table[c, t - 1], stay)
-    return table
-
-
-def seat(
-    customers: np.ndarray,
-    others: np.ndarray,
-    parent: np.ndarray,
-    strength: float,
-    discount: float,
-    rng: np.random.Generator,
-) -> np.ndarray:
-    """Tables of each dish, drawn given its customers, the tables of all other dishes of
-    its restaurant and the parent's probability of the dish."""
-    numbers = stirling(discount)
-    tables = np.minimum(customers, 1).astype(np.int64)
-    parent = np.maximum(parent, 1e-300)
-    first = np.minimum(customers, EXACT)
-    for c in range(2, EXACT + 1):
-        rows = np.nonzero(first == c)[0]
-        if not len(rows):
-            continue
-        log_p, other = np.log(parent[rows]), others[rows]
-        weight = np.empty((len(rows), c))
-        total = np.zeros(len(rows))
-        for t in range(1, c + 1):
-            total += np.log(strength + discount * (other + t - 1)) + log_p
-            weight[:, t - 1] = numbers[c, t] + total
-        weight += rng.gumbel(size=weight.shape)
-        tables[rows] = weight.argmax(axis=1) + 1
-    rows = np.nonzero(customers > EXACT)[0]
-    seated = np.full(len(rows), EXACT, dtype=np.int64)
-    while len(rows):
-        t = tables[rows]
-        group = np.minimum(customers[rows] - seated, np.maximum(seated // 4, 1))
-        opens = (strength + discount * (others[rows] + t)) * parent[rows]
-        tables[rows] = t + rng.binomial(group, opens / (opens + seated - discount * t))
-        seated = seated + group
-        rest = seated < customers[rows]
-        rows, seated = rows[rest], seated[rest]
-    return tables
+# Seating of spelled symbols
 
 
 def sample_spelling(codes: np.ndarray, counts: np.ndarray, old: Spelling, rng: np.random.Generator) -> Spelling:
@@ -194,8 +147,8 @@ def sample_spelling(codes: np.ndarray, counts: np.ndarray, old: Spelling, rng: n
     def tables_of(count: np.ndarray, group: np.ndarray, parent: np.ndarray, width: int) -> np.ndarray:
         tables = np.minimum(count, 1)
         for _ in range(2):
-            total = np.bincount(group, weights=tables, minlength=width)[group]
-            tables = seat(count, total - tables, parent, s, d, rng)
+            total = np.bincount(group, weights=tables, minlength=width)
+            tables = seat(count, scale(s, d, total, rng)[group] * parent, d, rng, tables)
         return tables
 
     triple_tables = tables_of(counts, context, old.pairs[one, symbol], _WIDE * _WIDE)
@@ -227,386 +180,537 @@ def sample_spelling(codes: np.ndarray, counts: np.ndarray, old: Spelling, rng: n
     )
 
 
-# Words and contexts
-
-
-def keyed_tokens(words: list[bytes], suffix: dict[bytes, bytes], start: bytes) -> list[bytes]:
-    """Every token of a text with the context that its restaurant has, if any."""
-    tokens = [*words, TEXT_END]
-    after = [start, *[suffix.get(w, b"") for w in words]]
-    return list(map(add, tokens, after))
-
-
-def split_key(key: bytes) -> tuple[bytes, int]:
-    """Word and number of the context, 0 for none. Words have no space inside."""
-    return (key[:-2], key[-1]) if key[-2:-1] == b" " else (key, 0)
-
-
-def _suffixes(contexts: list[bytes]) -> tuple[dict[bytes, bytes], bytes]:
-    return {w: b" " + bytes([i + 2]) for i, w in enumerate(contexts)}, b" \x01"
-
+# Messages between blocks, word buckets and pair buckets
 
-def context_words(blocks: DataFrame, buckets: int) -> list[bytes]:
-    """The most frequent learnt words, by exact counts over all blocks."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for packed in batch.column("packed"):
-                total: Counter = Counter()
-                table = unpack(packed.as_py())
-                for text, learn in zip(table.column("_text").to_pylist(), table.column("learn").to_pylist()):
-                    if learn:
-                        total.update(words_of(text))
-                dealt: list[list[bytes]] = [[] for _ in range(buckets)]
-                for word in total:
-                    dealt[zlib.crc32(word) % buckets].append(word)
-                for bucket, own in enumerate(dealt):
-                    own.sort()
-                    yield _keys_row(0, bucket, own, [total[w] for w in own])
-
-    def top(rows: pa.Table) -> pa.Table:
-        total = _totals(rows)
-        best = sorted(total, key=lambda w: (-total[w], w))[:CONTEXTS]
-        return pa.table({"word": pa.array(best, pa.binary()),
-                         "n": pa.array([total[w] for w in best], pa.int64())})
-
-    counted = blocks.mapInArrow(count, _KEYS).groupBy("bucket").applyInArrow(top, "word binary, n long")
-    best = counted.orderBy(F.desc("n"), "word").limit(CONTEXTS).collect()
-    return [bytes(r["word"]) for r in best]
-
-
-_KEYS = "block long, bucket int, keys binary, counts binary"
+MAIL = "`to` long, kind int, sender long, body binary, extra binary, amount double"
+_MAIL = pa.schema([("to", pa.int64()), ("kind", pa.int32()), ("sender", pa.int64()),
+                   ("body", pa.binary()), ("extra", pa.binary()), ("amount", pa.float64())])
+# To blocks.
+TEXTS, NUMBERS, WORD_ANSWER, PAIR_ANSWER = 1, 2, 3, 4
+# To word buckets.
+KEYS, VOCABULARY, ONCE, LIST, SUMS, STATE = 11, 12, 13, 14, 15, 16
+# To pair buckets.
+PAIRS, REPEATED, REPLY, TABLES = 21, 22, 23, 24
+# To whoever sums the spelled symbols, by the first of them.
+SPELLED = 31
+# Amounts that Spark sums.
+TOKENS, DISTINCT, ONE, TWO, WORD_ONE, WORD_TWO, CUSTOMERS, ROOT_TABLES, MASS, BASE = range(41, 51)
+
+
+def put(*arrays: np.ndarray) -> bytes:
+    """Arrays as one value: whole numbers in as few bytes as the largest needs, bytes of
+    equal place together, compressed."""
+    kinds, planes = [], []
+    for a in arrays:
+        a = np.ascontiguousarray(a)
+        if a.dtype.kind in "iu" and len(a):
+            a = a.astype(np.result_type(np.min_scalar_type(a.min()), np.min_scalar_type(a.max())))
+        kinds.append((a.dtype.str, len(a)))
+        planes.append(a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes())
+    head = json.dumps(kinds).encode() + b"\n"
+    return zstandard.ZstdCompressor(level=3).compress(head + b"".join(planes))
+
+
+def take(body: bytes) -> list[np.ndarray]:
+    """The arrays of `put`, whole numbers as 64-bit ones."""
+    raw = zstandard.ZstdDecompressor().decompress(body)
+    at = raw.index(b"\n") + 1
+    out = []
+    for kind, n in json.loads(raw[:at]):
+        dtype = np.dtype(kind)
+        planes = np.frombuffer(raw, np.uint8, n * dtype.itemsize, at).reshape(dtype.itemsize, n)
+        a = np.ascontiguousarray(planes.T).view(dtype).reshape(n)
+        out.append(a.astype(np.int64) if dtype.kind in "iu" else a)
+        at += n * dtype.itemsize
+    return out
+
+
+def gaps(increasing: np.ndarray) -> np.ndarray:
+    return np.diff(increasing, prepend=0)
+
+
+class Outbox:
+    def __init__(self) -> None:
+        self.rows: list[tuple] = []
+
+    def send(self, to: int, kind: int, sender: int, body: bytes, extra: bytes | None = None) -> None:
+        self.rows.append((to, kind, sender, body, extra, None))
+
+    def add(self, **amounts: float) -> None:
+        for name, amount in amounts.items():
+            self.rows.append((None, globals()[name], None, None, None, float(amount)))
+
+    def table(self) -> pa.Table:
+        columns = list(zip(*self.rows)) if self.rows else [[] for _ in _MAIL]
+        self.rows = []
+        return pa.table([pa.array(c, f.type) for c, f in zip(columns, _MAIL)], schema=_MAIL)
+
+
+def inbox(rows: pa.Table) -> dict[int, list[tuple[int, bytes, bytes | None]]]:
+    """Messages by kind, in the order of their senders."""
+    out: dict[int, list] = {}
+    columns = (rows.column(c).to_pylist() for c in ("kind", "sender", "body", "extra"))
+    for kind, *message in zip(*columns):
+        out.setdefault(kind, []).append(tuple(message))
+    for messages in out.values():
+        messages.sort(key=lambda m: m[0])
+    return out
+
+
+def of(mail: DataFrame, *kinds: int) -> DataFrame:
+    return mail.filter(F.col("kind").isin(*kinds))
+
+
+def delivered(mail: DataFrame, groups: int, answer, schema: str = MAIL) -> DataFrame:
+    """Give every receiver all of its messages; about one task for each."""
+    return mail.repartition(groups, "to").groupBy("to").applyInArrow(answer, schema)
+
+
+def amounts(mail: DataFrame) -> dict[int, float]:
+    rows = mail.filter(F.col("amount").isNotNull()).groupBy("kind").agg(F.sum("amount").alias("n")).collect()
+    return {r["kind"]: r["n"] for r in rows}
+
+
+# Blocks and their words
+
+
+def split_blocks(texts: DataFrame, buckets: int) -> DataFrame:
+    """Every block as numbers of its distinct words, and those words, by bucket and in
+    order, with the number of times the block's learnt texts have them."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, rows in numbered_blocks(batches, BLOCK_BYTES):
+            number: dict[bytes, int] = {TEXT_START: 0}
+            tokens, lengths = array("i"), []
+            for batch in few_at_a_time(rows):
+                for text in batch.column(1).to_pylist():
+                    own = words_of(text)
+                    own.append(TEXT_END)
+                    for word in set(own).difference(number):
+                        number[word] = len(number)
+                    tokens.extend(map(number.__getitem__, own))
+                    lengths.append(len(own))
+            learn = np.concatenate([b.column(2).to_numpy(zero_copy_only=False) for b in rows])
+            ids = pa.table({"id": pa.chunked_array([b.column(0) for b in rows])})
+            dealt: list[list[bytes]] = [[] for _ in range(buckets)]
+            for word in number:
+                dealt[zlib.crc32(word) % buckets].append(word)
+            place = np.empty(len(number), dtype=np.int64)
+            at = 0
+            for own in dealt:
+                own.sort()
+                place[[number[w] for w in own]] = np.arange(at, at + len(own))
+                at += len(own)
+            local = place[np.frombuffer(tokens, dtype=np.int32)]
+            weight = np.repeat(learn, lengths)
+            count = np.bincount(local[weight], minlength=len(number))
+            count[place[0]] = learn.sum()
+            out = Outbox()
+            out.send(block, TEXTS, int(place[0]), put(local, np.array(lengths), learn), pack(ids))
+            at = 0
+            for bucket, own in enumerate(dealt):
+                if own:
+                    out.send(bucket, KEYS, block, pack_strings(own), put(count[at:at + len(own)]))
+                    at += len(own)
+            yield from out.table().to_batches()
+
+    return texts.mapInArrow(split, MAIL)
+
+
+def vocabulary(rows: pa.Table) -> pa.Table:
+    """The learnt words of a bucket with their counts, and for every block the places
+    and counts of its words."""
+    bucket = rows.column("to")[0].as_py()
+    asked = [(block, unpack_strings(body), take(extra)[0]) for block, body, extra in inbox(rows)[KEYS]]
+    total: dict[bytes, int] = {}
+    for _, words, counts in asked:
+        for word, n in zip(words, counts.tolist()):
+            if n:
+                total[word] = total.get(word, 0) + n
+    known = sorted(total)
+    count = np.array([total[w] for w in known], dtype=np.int64)
+    place = dict(zip(known, range(len(known))))
+    real = np.array([w != TEXT_START for w in known], dtype=bool)
+    out = Outbox()
+    out.send(bucket, VOCABULARY, 0, pack(pa.table({"word": pa.array(known, pa.binary())})), put(count, real))
+    out.add(TOKENS=count[real].sum(), DISTINCT=real.sum(),
+            WORD_ONE=(count[real] == 1).sum(), WORD_TWO=(count[real] == 2).sum())
+    for block, words, _ in asked:
+        at = np.array([place.get(w, -1) for w in words], dtype=np.int64)
+        seen = np.append(count, 0)[at] if len(known) else np.zeros(len(words), dtype=np.int64)
+        out.send(block, NUMBERS, bucket, put(at, seen))
+    return out.table()
+
+
+# A word's number in the whole corpus: its bucket above its place there.
+_SHIFT = 40
 
 
-def _keys_row(block: int, bucket: int, keys: list[bytes], counts: list[int]) -> pa.RecordBatch:
-    packed = zlib.compress(np.array(counts, dtype="<i8").tobytes(), 1)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([block]), pa.array([bucket], pa.int32()),
-         pa.array([pack_strings(keys)], pa.binary()), pa.array([packed], pa.binary())],
-        ["block", "bucket", "keys", "counts"],
-    )
+@dataclass
+class Block:
+    """Tokens of a block, and its distinct pairs of context and word; `dealt` are the
+    pairs of learnt words, by pair bucket."""
 
+    ids: pa.Table
+    learn: np.ndarray
+    lengths: np.ndarray
+    count: np.ndarray
+    local: np.ndarray
+    context: np.ndarray
+    word: np.ndarray
+    pair_of: np.ndarray
+    pair_count: np.ndarray
+    words: np.ndarray
+    dealt: list[np.ndarray]
 
-def _totals(rows: pa.Table) -> dict[bytes, int]:
-    total: dict[bytes, int] = {}
-    for keys, counts in zip(rows.column("keys"), rows.column("counts")):
-        numbers = np.frombuffer(zlib.decompress(counts.as_py()), dtype="<i8").tolist()
-        for key, n in zip(unpack_strings(keys.as_py()), numbers):
-            if n:
-                total[key] = total.get(key, 0) + n
-    return total
-
-
-def block_keys(blocks: DataFrame, contexts: list[bytes], buckets: int) -> DataFrame:
-    """The distinct words in contexts of every block, dealt to buckets by word, with the
-    number of times the block's learnt texts have them."""
-    suffix, start = _suffixes(contexts)
-
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, packed in zip(batch.column("block").to_pylist(), batch.column("packed")):
-                total: Counter = Counter()
-                asked: set[bytes] = set()
-                table = unpack(packed.as_py())
-                for text, learn in zip(table.column("_text").to_pylist(), table.column("learn").to_pylist()):
-                    own = keyed_tokens(words_of(text), suffix, start)
-                    if learn:
-                        total.update(own)
-                    else:
-                        asked.update(own)
-                for key in asked:
-                    total.setdefault(key, 0)
-                dealt: list[list[bytes]] = [[] for _ in range(buckets)]
-                for key in total:
-                    word = key[:-2] if key[-2:-1] == b" " else key
-                    dealt[zlib.crc32(word) % buckets].append(key)
-                for bucket, own in enumerate(dealt):
-                    if own:
-                        own.sort()
-                        yield _keys_row(block, bucket, own, [total[k] for k in own])
-
-    return blocks.mapInArrow(keys, _KEYS)
+    @staticmethod
+    def read(mail: dict[int, list], buckets: int) -> Block:
+        start, body, extra = mail[TEXTS][0]
+        local, lengths, learn = take(body)
+        learn = learn.astype(bool)
+        numbers = [(bucket, *take(body)) for bucket, body, _ in mail[NUMBERS]]
+        count = np.concatenate([n[2] for n in numbers])
+        words = np.concatenate([np.where(at >= 0, (bucket << _SHIFT) + at, -1) for bucket, at, _ in numbers])
+        n = len(words)
+        before = np.empty_like(local)
+        before[1:] = local[:-1]
+        before[np.cumsum(lengths) - lengths] = start
+        code, pair_of = np.unique(before * n + local, return_inverse=True)
+        context, word = code // n, code % n
+        pair_count = np.bincount(pair_of, weights=np.repeat(learn, lengths), minlength=len(code))
+        known = np.nonzero((words[context] >= 0) & (words[word] >= 0))[0]
+        bucket_of = pair_bucket(words[context[known]], words[word[known]], buckets)
+        order = np.argsort(bucket_of, kind="stable")
+        cuts = np.searchsorted(bucket_of[order], np.arange(1, buckets))
+        return Block(unpack(extra), learn, lengths, count, local, context, word, pair_of,
+                     pair_count.astype(np.int64), words, np.split(known[order], cuts))
+
+
+def pair_bucket(context: np.ndarray, word: np.ndarray, buckets: int) -> np.ndarray:
+    mixed = context.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + word.astype(np.uint64)
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((mixed >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
+
+
+def asked_pairs(buckets: int):
+    """The pairs of every block with their counts in its learnt texts."""
+
+    def ask(rows: pa.Table) -> pa.Table:
+        mail = inbox(rows)
+        block, out = rows.column("to")[0].as_py(), Outbox()
+        if TEXTS in mail:
+            own = Block.read(mail, buckets)
+            for bucket, pairs in enumerate(own.dealt):
+                if len(pairs):
+                    context, word = own.words[own.context[pairs]], own.words[own.word[pairs]]
+                    out.send(bucket, PAIRS, block,
+                             put(gaps(context), word >> _SHIFT, word & ((1 << _SHIFT) - 1), own.pair_count[pairs]))
+        return out.table()
+
+    return ask
 
 
 @dataclass
-class Bucket:
-    """The learnt words of a bucket and, by word, their entries in context restaurants
-    (context 0 stands for tokens that go to the root directly)."""
+class Pairs:
+    """The distinct pairs of a pair bucket, in order, and where each block's pairs are."""
 
-    words: pa.Array
-    word_of: np.ndarray
+    words: np.ndarray
     context: np.ndarray
+    word: np.ndarray
     count: np.ndarray
+    at: list[tuple[int, np.ndarray]]
 
     @staticmethod
-    def read(packed_words: bytes, packed_entries: bytes) -> Bucket:
-        entries = unpack(packed_entries)
-        return Bucket(
-            unpack(packed_words).column("word").combine_chunks() if packed_words else None,
-            *(entries.column(c).to_numpy() for c in ("word_of", "context", "count")),
-        )
+    def read(messages: list) -> Pairs:
+        parts = []
+        for block, body, _ in messages:
+            gap, bucket, place, count = take(body)
+            parts.append((block, np.cumsum(gap), (bucket << _SHIFT) + place, count))
+        context, word, count = (np.concatenate([p[i] for p in parts]) for i in (1, 2, 3))
+        words = np.unique(np.concatenate([np.unique(context), np.unique(word)]))
+        code = np.searchsorted(words, context) * len(words) + np.searchsorted(words, word)
+        del context, word
+        code, at = np.unique(code, return_inverse=True)
+        total = np.bincount(at, weights=count, minlength=len(code)).astype(np.int64)
+        cuts = np.cumsum([len(p[1]) for p in parts])[:-1]
+        return Pairs(words, code // len(words), code % len(words), total,
+                     list(zip((p[0] for p in parts), np.split(at, cuts))))
+
+
+def by_bucket(words: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Runs of words of one word bucket."""
+    bucket = words >> _SHIFT
+    starts = np.nonzero(np.diff(bucket, prepend=-1))[0].tolist()
+    for a, b in zip(starts, [*starts[1:], len(words)]):
+        yield int(bucket[a]), slice(a, b)
+
+
+def _place(words: np.ndarray) -> np.ndarray:
+    return words & ((1 << _SHIFT) - 1)
+
+
+def merged_pairs(rows: pa.Table) -> pa.Table:
+    """Pairs seen more than once, which have tables to draw, and for the word buckets
+    what all others add to their words for good."""
+    bucket, out = rows.column("to")[0].as_py(), Outbox()
+    own = Pairs.read(inbox(rows)[PAIRS])
+    n = len(own.words)
+    once, more = own.count == 1, own.count > 1
+    tables = np.bincount(own.context[once], minlength=n)
+    customers = np.bincount(own.word[once], minlength=n)
+    kept = np.nonzero(tables + customers)[0]
+    for to, run in by_bucket(own.words[kept]):
+        i = kept[run]
+        out.send(to, ONCE, bucket, put(gaps(_place(own.words[i])), tables[i], customers[i]))
+    used = np.unique(np.concatenate([own.context[more], own.word[more]]))
+    words = own.words[used]
+    context, word = np.searchsorted(used, own.context[more]), np.searchsorted(used, own.word[more])
+    count = own.count[more]
+    if len(words):
+        out.send(bucket, REPEATED, 0, put(gaps(words), gaps(context), word, count))
+        for to, run in by_bucket(words):
+            out.send(to, LIST, bucket, put(gaps(_place(words[run]))))
+        _report(out, bucket, words, context, word, np.ones(len(count), dtype=np.int64))
+    out.add(ONE=once.sum(), TWO=(own.count == 2).sum())
+    return out.table()
+
+
+def _report(out: Outbox, bucket: int, words, context, word, tables) -> None:
+    """Tables of a pair bucket, summed for each of its words as context and as word."""
+    opened = np.bincount(context, weights=tables, minlength=len(words)).astype(np.int64)
+    customers = np.bincount(word, weights=tables, minlength=len(words)).astype(np.int64)
+    for to, run in by_bucket(words):
+        out.send(to, SUMS, bucket, put(opened[run], customers[run]))
+
+
+# Sweeps
 
-    def root_customers(self, tables: np.ndarray) -> np.ndarray:
-        arrive = np.where(self.context == 0, self.count, tables)
-        return np.bincount(self.word_of, weights=arrive, minlength=len(self.words)).astype(np.int64)
-
-
-def merged_buckets(keys: DataFrame) -> DataFrame:
-    """One row per bucket: its words and entries with their counts over all blocks, the
-    number of learnt tokens and words, and counts of counts for the discounts."""
-
-    def merge(rows: pa.Table) -> pa.Table:
-        total = _totals(rows)
-        entries = sorted((*split_key(k), n) for k, n in total.items() if n)
-        words: list[bytes] = []
-        word_of = np.empty(len(entries), dtype=np.int32)
-        for i, (word, _, _) in enumerate(entries):
-            if not words or words[-1] != word:
-                words.append(word)
-            word_of[i] = len(words) - 1
-        context = np.array([e[1] for e in entries], dtype=np.int16)
-        count = np.array([e[2] for e in entries], dtype=np.int64)
-        per_word = np.bincount(word_of, weights=count, minlength=len(words))
-        inner = count[context > 0]
-        ones = [int((inner == 1).sum()), int((inner == 2).sum()),
-                int((per_word == 1).sum()), int((per_word == 2).sum())]
-        seen = np.bincount(context, weights=count, minlength=CONTEXTS + 2).astype(np.int64)
-        return pa.table(
-            {
-                "bucket": rows.column("bucket")[:1],
-                "words": pa.array([pack(pa.table({"word": pa.array(words, pa.binary())}))], pa.binary()),
-                "entries": pa.array(
-                    [pack(pa.table({"word_of": word_of, "context": context, "count": count}))],
-                    pa.binary(),
-                ),
-                "tokens": pa.array([int(count.sum())], pa.int64()),
-                "distinct": pa.array([len(words)], pa.int64()),
-                "ones": pa.array([ones], pa.list_(pa.int64())),
-                "seen": pa.array([seen.tolist()], pa.list_(pa.int64())),
-            }
-        )
 
-    return keys.groupBy("bucket").applyInArrow(
-        merge,
-        "bucket int, words binary, entries binary, tokens long, distinct long, "
-        "ones array<long>, seen array<long>",
-    )
+@dataclass(frozen=True)
+class Known:
+    tokens: int
+    distinct: int
+    context_discount: float
+    root_discount: float
 
 
 @dataclass(frozen=True)
 class Totals:
     """What one sweep knows of all restaurants together."""
 
-    tables: np.ndarray
     root_customers: int
     root_tables: int
+    # The share of all root words in units of their drawn masses, and the root's variable.
+    mass: float
+    root_scale: float
     spelling: Spelling
-    # The spelling that the sweep was drawn with, and what it leaves to unknown words.
-    base: Spelling
+    # What the spelling that the sweep was drawn with leaves to unknown words.
     unknown: float
 
 
-@dataclass(frozen=True)
-class Learnt:
-    tokens: int
-    distinct: int
-    customers: np.ndarray
-    context_discount: float
-    root_discount: float
-
-
-def _discount(one: int, two: int) -> float:
+def _discount(one: float, two: float) -> float:
     return min(0.95, max(0.1, one / (one + 2 * two))) if one + two else 0.5
 
 
-def root_probability(count: np.ndarray, tables: np.ndarray, base: np.ndarray, now: Totals, known: Learnt) -> np.ndarray:
-    d, s = known.root_discount, STRENGTH["root"]
-    return (count - d * tables + (s + d * now.root_tables) * base) / (s + now.root_customers)
+def seat_words(now: Totals, known: Known, number: int):
+    """One word bucket: sums of its words, a new seating of the root, and the masses and
+    variables that the pair buckets draw from."""
+
+    def resample(rows: pa.Table) -> pa.Table:
+        bucket, mail, out = rows.column("to")[0].as_py(), inbox(rows), Outbox()
+        rng = np.random.default_rng([SEED, 1, number, bucket])
+        _, body, extra = mail[VOCABULARY][0]
+        words = unpack(body).column("word").combine_chunks()
+        _, real = take(extra)
+        real = real.astype(bool)
+        n = len(words)
+        if STATE in mail:
+            fixed, fixed_customers, _, _, seats, _ = take(mail[STATE][0][1])
+        else:
+            fixed, fixed_customers = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+            for _, body, _ in mail.get(ONCE, []):
+                gap, tables, customers = take(body)
+                at = np.cumsum(gap)
+                fixed[at] += tables
+                fixed_customers[at] += customers
+            seats = None
+        lists = [(p, np.cumsum(take(body)[0])) for p, body, _ in mail.get(LIST, [])]
+        opened, customers = fixed.copy(), fixed_customers.copy()
+        for (_, at), (_, body, _) in zip(lists, mail.get(SUMS, [])):
+            tables, arrived = take(body)
+            opened[at] += tables
+            customers[at] += arrived
+        d, s = known.root_discount, STRENGTH["root"]
+        base = np.where(real, np.exp(now.spelling.log_prob(words)), 0.0)
+        seats = seat(customers, now.root_scale * base, d, rng, seats)
+        mass = rng.gamma(np.maximum(customers - d * seats, 0.0))
+        given = scale(STRENGTH["context"], known.context_discount, opened, rng)
+        out.add(CUSTOMERS=customers.sum(), ROOT_TABLES=seats.sum(), MASS=mass.sum(), BASE=base.sum())
+        mass += (s + d * now.root_tables) * base
+        for p, at in lists:
+            out.send(p, REPLY, bucket, put(given[at].astype(np.float32), mass[at].astype(np.float32)))
+        out.send(bucket, STATE, number,
+                 put(fixed, fixed_customers, opened, customers, seats, base.astype(np.float32)))
+        code, start = spelled(words)
+        lengths = np.diff(np.append(start, len(code)))
+        codes, at = np.unique(code, return_inverse=True)
+        spelt = np.bincount(at, weights=np.repeat(seats, lengths), minlength=len(codes)).astype(np.int64)
+        first = codes // (_WIDE * _SYMBOLS)
+        for symbol in np.unique(first[spelt > 0]).tolist():
+            i = (first == symbol) & (spelt > 0)
+            out.send(symbol, SPELLED, bucket, put(gaps(codes[i]), spelt[i]))
+        return out.table()
 
+    return resample
 
-def context_probability(
-    context: np.ndarray, count: np.ndarray, tables: np.ndarray, root: np.ndarray, now: Totals, known: Learnt
-) -> np.ndarray:
-    d, s = known.context_discount, STRENGTH["context"]
-    inner = (count - d * tables + (s + d * now.tables[context]) * root) / (s + known.customers[context])
-    return np.where(context == 0, root, inner)
-
-
-def sweep(model: DataFrame, state: DataFrame | None, now: Totals, known: Learnt, number: int) -> DataFrame:
-    """One Gibbs sweep over all buckets: `tables` of entries and words, totals of the
-    bucket, and the byte triples that its root tables spell."""
-    shared = model.sparkSession.sparkContext.broadcast((now, known))
-    rows = model.select("bucket", "words", "entries")
-    if state is None:
-        rows = rows.withColumn("tables", F.lit(None).cast("binary")).withColumn("roots", F.lit(None).cast("binary"))
-    else:
-        rows = rows.join(state.select("bucket", "tables", "roots"), "bucket")
-
-    def resample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, learnt = shared.value
-        for batch in batches:
-            for row in batch.to_pylist():
-                yield _resampled(row, before, learnt, number)
-
-    return rows.mapInArrow(
-        resample,
-        "bucket int, tables binary, roots binary, opened array<long>, customers long, "
-        "root_tables long, codes array<long>, spelled array<long>, base double",
-    )
 
-
-def _resampled(row: dict, now: Totals, known: Learnt, number: int) -> pa.RecordBatch:
-    own = Bucket.read(row["words"], row["entries"])
-    rng = np.random.default_rng([SEED, number, row["bucket"]])
-    if row["tables"] is None:
-        tables = np.minimum(own.count, 1)
-        roots = np.minimum(own.root_customers(tables), 1)
-    else:
-        tables, roots = (np.frombuffer(zlib.decompress(row[c]), np.int64) for c in ("tables", "roots"))
-    base = np.exp(now.spelling.log_prob(own.words))
-    root = root_probability(own.root_customers(tables), roots, base, now, known)
-    inner = own.context > 0
-    drawn = tables.copy()
-    drawn[inner] = seat(
-        own.count[inner],
-        np.maximum(now.tables[own.context[inner]] - tables[inner], 0),
-        root[own.word_of[inner]],
-        STRENGTH["context"],
-        known.context_discount,
-        rng,
-    )
-    customers = own.root_customers(drawn)
-    roots = seat(
-        customers, np.maximum(now.root_tables - roots, 0), base, STRENGTH["root"],
-        known.root_discount, rng,
-    )
-    code, start = spelled(own.words)
-    lengths = np.diff(np.append(start, len(code)))
-    codes, at = np.unique(code, return_inverse=True)
-    counts = np.bincount(at, weights=np.repeat(roots, lengths), minlength=len(codes)).astype(np.int64)
-    opened = np.bincount(own.context[inner], weights=drawn[inner], minlength=CONTEXTS + 2).astype(np.int64)
-    longs = pa.list_(pa.int64())
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([row["bucket"]], pa.int32()),
-            pa.array([zlib.compress(drawn.tobytes(), 1)], pa.binary()),
-            pa.array([zlib.compress(roots.tobytes(), 1)], pa.binary()),
-            pa.array([opened.tolist()], longs),
-            pa.array([int(customers.sum())], pa.int64()),
-            pa.array([int(roots.sum())], pa.int64()),
-            pa.array([codes.tolist()], longs),
-            pa.array([counts.tolist()], longs),
-            pa.array([float(base.sum())], pa.float64()),
-        ],
-        ["bucket", "tables", "roots", "opened", "customers", "root_tables", "codes", "spelled",
-         "base"],
-    )
+def sum_spelled(rows: pa.Table) -> pa.Table:
+    """All symbol triples with one first symbol, over all buckets."""
+    parts = [take(body) for _, body, _ in inbox(rows)[SPELLED]]
+    codes, at = np.unique(np.concatenate([np.cumsum(p[0]) for p in parts]), return_inverse=True)
+    total = np.bincount(at, weights=np.concatenate([p[1] for p in parts])).astype(np.int64)
+    out = Outbox()
+    out.send(rows.column("to")[0].as_py(), SPELLED, 0, put(codes, total))
+    return out.table()
 
 
-def after_sweep(state: DataFrame, old: Spelling, number: int) -> Totals:
+def after_words(mail: DataFrame, old: Totals, known: Known, number: int) -> Totals:
     """Totals over all buckets, and a spelling model seated anew."""
-    rows = state.select("opened", "customers", "root_tables", "base").collect()
-    zipped = state.select(F.explode(F.arrays_zip("codes", "spelled")).alias("z"))
-    counted = (
-        zipped.groupBy(F.col("z.codes").alias("code"))
-        .agg(F.sum("z.spelled").alias("n")).filter("n > 0").orderBy("code").collect()
-    )
-    codes = np.array([r["code"] for r in counted], dtype=np.int64)
-    counts = np.array([r["n"] for r in counted], dtype=np.int64)
-    rng = np.random.default_rng([SEED, number])
+    total = amounts(mail)
+    rows = delivered(of(mail, SPELLED), _groups(mail, _WIDE), sum_spelled).select("body").collect()
+    parts = [take(bytes(r["body"])) for r in rows] or [[np.zeros(0, dtype=np.int64)] * 2]
+    codes, counts = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+    rng = np.random.default_rng([SEED, 2, number])
+    tables = int(total.get(ROOT_TABLES, 0))
+    d, s = known.root_discount, STRENGTH["root"]
     return Totals(
-        np.sum([r["opened"] for r in rows], axis=0) if rows else np.zeros(CONTEXTS + 2, dtype=np.int64),
-        sum(r["customers"] for r in rows),
-        sum(r["root_tables"] for r in rows),
-        sample_spelling(codes, counts, old, rng),
-        old,
-        max(1.0 - math.fsum(r["base"] for r in rows), 1e-12),
+        int(total.get(CUSTOMERS, 0)),
+        tables,
+        total.get(MASS, 0.0) + rng.gamma(s + d * tables),
+        float(scale(s, d, tables, rng)),
+        sample_spelling(codes, counts, old.spelling, rng),
+        max(1.0 - total.get(BASE, 0.0), 1e-12),
     )
 
 
-def learn(keys: DataFrame) -> tuple[DataFrame, Learnt, list[tuple[DataFrame, Totals]]]:
-    """The merged counts, what is known of them, and the sampled seatings."""
-    model = written(merged_buckets(keys), "words")
-    rows = model.select("tokens", "distinct", "ones", "seen").collect()
-    ones = np.sum([r["ones"] for r in rows], axis=0) if rows else np.zeros(4, dtype=int)
-    customers = np.sum([r["seen"] for r in rows], axis=0) if rows else np.zeros(CONTEXTS + 2)
-    known = Learnt(
-        sum(r["tokens"] for r in rows), sum(r["distinct"] for r in rows), customers,
-        _discount(*map(int, ones[:2])), _discount(*map(int, ones[2:])),
-    )
-    blank = uniform_spelling()
-    now = Totals(np.zeros(CONTEXTS + 2), 0, 0, blank, blank, 1.0)
-    state, samples = None, []
+def _groups(mail: DataFrame, most: int) -> int:
+    """Tasks for a few small groups."""
+    return min(most, int(mail.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def seat_pairs(now: Totals, known: Known, number: int):
+    """One pair bucket: new tables of its pairs, and their sums for the word buckets."""
+
+    def resample(rows: pa.Table) -> pa.Table:
+        bucket, mail, out = rows.column("to")[0].as_py(), inbox(rows), Outbox()
+        words, context, word, count = take(mail[REPEATED][0][1])
+        words, context = np.cumsum(words), np.cumsum(context)
+        replies = [take(body) for _, body, _ in mail[REPLY]]
+        given, mass = (np.concatenate([r[i] for r in replies]).astype(np.float64) for i in (0, 1))
+        rng = np.random.default_rng([SEED, 3, number, bucket])
+        tables = take(mail[TABLES][0][1])[0] if TABLES in mail else None
+        tables = seat(count, given[context] * mass[word] / now.mass, known.context_discount, rng, tables)
+        out.send(bucket, TABLES, number, put(tables))
+        _report(out, bucket, words, context, word, tables)
+        return out.table()
+
+    return resample
+
+
+def learn(vocab: DataFrame, pairs: DataFrame, known: Known, buckets: int) -> list[tuple[DataFrame, DataFrame | None, Totals]]:
+    """The sampled seatings: words' state, pairs' tables, totals."""
+    blank, start = uniform_spelling(), float(known.distinct)
+    now = Totals(known.tokens, known.distinct, 1.0, max(start, 1.0), blank, 1.0)
+    fixed = of(vocab, VOCABULARY).unionByName(of(pairs, LIST))
+    state, reported, seated, samples = of(pairs, ONCE), of(pairs, SUMS), None, []
     for number in range(BURN_IN + SAMPLES):
-        state = written(sweep(model, state, now, known, number), "seating")
-        now = after_sweep(state, now.spelling, number)
+        received = fixed.unionByName(state).unionByName(reported)
+        words = written(delivered(received, buckets, seat_words(now, known, number)), "words")
+        now = after_words(words, now, known, number)
+        state = of(words, STATE)
         if number >= BURN_IN:
-            samples.append((state, now))
-    return model, known, samples
+            samples.append((state, seated, now))
+        if number < BURN_IN + SAMPLES - 1:
+            received = of(pairs, REPEATED).unionByName(of(words, REPLY))
+            received = received if seated is None else received.unionByName(seated)
+            drawn = written(delivered(received, buckets, seat_pairs(now, known, number)), "tables")
+            seated, reported = of(drawn, TABLES), of(drawn, SUMS)
+    return samples
 
 
-def answered(keys: DataFrame, model: DataFrame, known: Learnt, samples: list[tuple[DataFrame, Totals]]) -> DataFrame:
-    """For every block its keys with the word's count and the averaged probability."""
-    shared = keys.sparkSession.sparkContext.broadcast((known, [now for _, now in samples]))
-    learnt = model.select("bucket", "words", "entries")
-    for i, (state, _) in enumerate(samples):
-        learnt = learnt.join(
-            state.select("bucket", F.col("tables").alias(f"t{i}"), F.col("roots").alias(f"r{i}")), "bucket"
-        )
+# Scores
 
-    def answer(asked: pa.Table, own_rows: pa.Table) -> pa.Table:
-        known, totals = shared.value
-        row = own_rows.to_pylist()[0]
-        own = Bucket.read(row["words"], row["entries"])
-        seats = [
-            [np.frombuffer(zlib.decompress(row[f"{c}{i}"]), np.int64) for c in "tr"]
-            for i in range(len(totals))
-        ]
-        words = own.words.to_pylist()
-        # All unknown words are one kind, after the known ones.
-        unknown = len(words)
-        word_at = dict(zip(words, range(unknown)))
-        entry_at = {
-            words[w] + b" " + bytes([c]): i
-            for i, (w, c) in enumerate(zip(own.word_of.tolist(), own.context.tolist())) if c
-        }
-        count = np.append(
-            np.bincount(own.word_of, weights=own.count, minlength=unknown), 0
-        ).astype(np.int64)
-        roots_of = [
-            root_probability(
-                np.append(own.root_customers(tables), 0), np.append(roots, 0),
-                np.append(np.exp(now.base.log_prob(own.words)), now.unknown), now, known,
-            )
-            for (tables, roots), now in zip(seats, totals)
-        ]
-        # One place more, for keys without an entry.
-        entry_count = np.append(own.count, 0)
-        out = []
-        for packed in asked.column("keys"):
-            keys = unpack_strings(packed.as_py())
-            inner = [k[-2:-1] == b" " for k in keys]
-            word = np.array(
-                [word_at.get(k[:-2] if i else k, unknown) for k, i in zip(keys, inner)], dtype=np.int64
-            )
-            context = np.array([k[-1] if i else 0 for k, i in zip(keys, inner)], dtype=np.int64)
-            entry = np.array([entry_at.get(k, -1) if i else -1 for k, i in zip(keys, inner)], dtype=np.int64)
-            own_count = np.where(entry >= 0, entry_count[entry], 0)
-            total = np.zeros(len(keys))
-            for (tables, _), root, now in zip(seats, roots_of, totals):
-                own_tables = np.where(entry >= 0, np.append(tables, 0)[entry], 0)
-                total += context_probability(context, own_count, own_tables, root[word], now, known)
-            table = pa.table({
-                "count": count[word],
-                "log10": np.log10(np.maximum(total / len(totals), 1e-300)).astype(np.float32),
-            })
-            out.append(pack(table))
-        return pa.table({"block": asked.column("block"), "keys": asked.column("keys"),
-                         "table": pa.array(out, pa.binary())})
-
-    return keys.groupBy("bucket").cogroup(learnt.groupBy("bucket")).applyInArrow(
-        answer, "block long, keys binary, table binary"
-    )
+
+def answer_words(totals: list[Totals], known: Known):
+    """For every block and sample, tables and root probabilities of its words."""
+    d, s = known.root_discount, STRENGTH["root"]
+
+    def answer(rows: pa.Table) -> pa.Table:
+        bucket, mail, out = rows.column("to")[0].as_py(), inbox(rows), Outbox()
+        own = []
+        for now, (_, body, _) in zip(totals, mail.get(STATE, [])):
+            _, _, opened, customers, seats, base = take(body)
+            root = (customers - d * seats + (s + d * now.root_tables) * base) / (s + now.root_customers)
+            own += [opened, root.astype(np.float32)]
+        for block, body, _ in mail.get(NUMBERS, []):
+            at = take(body)[0]
+            at = at[at >= 0]
+            out.send(block, WORD_ANSWER, bucket, put(*(a[at] for a in own)))
+        return out.table()
+
+    return answer
+
+
+def answer_pairs(samples: int):
+    """For every block, counts of its pairs and their tables in every sample."""
+
+    def answer(rows: pa.Table) -> pa.Table:
+        bucket, mail, out = rows.column("to")[0].as_py(), inbox(rows), Outbox()
+        own = Pairs.read(mail[PAIRS])
+        more = own.count > 1
+        columns = [own.count]
+        drawn = [take(body)[0] for _, body, _ in mail.get(TABLES, [])]
+        for i in range(samples):
+            tables = np.minimum(own.count, 1)
+            if drawn:
+                tables[more] = drawn[i]
+            columns.append(tables)
+        for block, at in own.at:
+            out.send(block, PAIR_ANSWER, bucket, put(*(c[at] for c in columns)))
+        return out.table()
+
+    return answer
+
+
+def pair_probabilities(block: Block, mail: dict[int, list], totals: list[Totals], known: Known) -> np.ndarray:
+    """The averaged predictive probability of each distinct pair of a block."""
+    d, s = known.context_discount, STRENGTH["context"]
+    root_d, root_s = known.root_discount, STRENGTH["root"]
+    words = [take(body) for _, body, _ in mail.get(WORD_ANSWER, [])]
+    pairs = {bucket: take(body) for bucket, body, _ in mail.get(PAIR_ANSWER, [])}
+    seen = np.nonzero(block.words >= 0)[0]
+    shape = len(block.context)
+    count = np.zeros(shape, dtype=np.int64)
+    for bucket, at in enumerate(block.dealt):
+        if len(at):
+            count[at] = pairs[bucket][0]
+    room = s + np.where(block.words >= 0, block.count, 0)
+    total = np.zeros(shape)
+    for i, now in enumerate(totals):
+        opened = np.zeros(len(block.words))
+        root = np.full(len(block.words), (root_s + root_d * now.root_tables) * now.unknown
+                       / (root_s + now.root_customers))
+        if len(seen):
+            opened[seen] = np.concatenate([w[2 * i] for w in words])
+            root[seen] = np.concatenate([w[2 * i + 1] for w in words])
+        tables = np.zeros(shape, dtype=np.int64)
+        for bucket, at in enumerate(block.dealt):
+            if len(at):
+                tables[at] = pairs[bucket][i + 1]
+        left = (s + d * opened) / room
+        total += (count - d * tables) / room[block.context] + left[block.context] * root[block.word]
+    return total / len(totals)
 
 
 def score_texts(
@@ -621,53 +725,53 @@ def score_texts(
         F.col(id_col), text_or_empty(text).alias("_text"),
         F.coalesce(learn_from, F.lit(False)).alias("learn"),
     )
-    buckets = text_blocks(total_bytes(texts, "_text"), BUCKET_BYTES)
+    size = total_bytes(texts, "_text")
+    buckets, groups = text_blocks(size, BUCKET_BYTES), text_blocks(size, BLOCK_BYTES)
     id_type = docs.schema[id_col].dataType.simpleString()
-    blocks = written(packed_blocks(texts, BLOCK_BYTES), "blocks")
-    contexts = context_words(blocks, buckets)
-    suffix, start = _suffixes(contexts)
-    keys = written(block_keys(blocks, contexts, buckets), "keys")
-    model, known, samples = learn(keys)
+    blocks = written(split_blocks(texts, buckets), "blocks")
+    vocab = written(delivered(of(blocks, KEYS), buckets, vocabulary), "vocabulary")
+    numbered = of(blocks, TEXTS).unionByName(of(vocab, NUMBERS))
+    asked = written(delivered(numbered, groups, asked_pairs(buckets)), "asked")
+    pairs = written(delivered(asked, buckets, merged_pairs), "pairs")
+    total = amounts(vocab) | amounts(pairs)
+    known = Known(
+        int(total.get(TOKENS, 0)), int(total.get(DISTINCT, 0)),
+        _discount(total.get(ONE, 0), total.get(TWO, 0)),
+        _discount(total.get(WORD_ONE, 0), total.get(WORD_TWO, 0)),
+    )
+    samples = learn(vocab, pairs, known, buckets)
+    totals = [now for _, _, now in samples]
+    # Messages go from the words' buckets back to the blocks that had asked.
+    back = of(vocab, NUMBERS).withColumns({"to": F.col("sender"), "sender": F.col("to")})
+    of_words, of_pairs = back, asked
+    for state, seated, _ in samples:
+        of_words = of_words.unionByName(state)
+        of_pairs = of_pairs.unionByName(seated)
+    answers = delivered(of_words, buckets, answer_words(totals, known)).unionByName(
+        delivered(of_pairs, buckets, answer_pairs(SAMPLES))
+    )
     tokens, room = known.tokens, known.tokens + known.distinct + 1
     names = [id_col, "learnt", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
-    def score(block: pa.Table, answers: pa.Table) -> pa.Table:
-        at: dict[bytes, int] = {}
-        counts, logs = [np.zeros(0)], [np.zeros(0)]
-        for packed_keys, packed in zip(answers.column("keys"), answers.column("table")):
-            table = unpack(packed.as_py())
-            own = unpack_strings(packed_keys.as_py())
-            at.update(zip(own, range(len(at), len(at) + len(own))))
-            counts.append(table.column("count").to_numpy())
-            logs.append(table.column("log10").to_numpy().astype(np.float64))
-        count, log10 = np.concatenate(counts), np.concatenate(logs)
-        base = np.log10((count + 1) / room)
-        rows: list[tuple] = []
-        for packed in block.column("packed"):
-            table = unpack(packed.as_py())
-            for name, one, learnt in zip(*(table.column(i).to_pylist() for i in range(3))):
-                own = keyed_tokens(words_of(one), suffix, start)
-                i = np.fromiter(map(at.__getitem__, own), dtype=np.int64, count=len(own))
-                rows.append((name, learnt, len(own), int((count[i] > 0).sum()), tokens,
-                             float(base[i].sum()), float(log10[i].sum())))
-        kinds = [texts_type, pa.bool_(), *[pa.int64()] * 3, *[pa.float64()] * 2]
-        columns = list(zip(*rows)) if rows else [[] for _ in kinds]
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names)
-
-    texts_type = _arrow_type(docs, id_col)
+    def score(rows: pa.Table) -> pa.Table:
+        mail = inbox(rows)
+        own = Block.read(mail, buckets)
+        log10 = np.log10(np.maximum(pair_probabilities(own, mail, totals, known), 1e-300))[own.pair_of]
+        count = own.count[own.local]
+        starts = np.cumsum(own.lengths) - own.lengths
+        # Every text has its end token, so no run is empty.
+        per_text = (np.add.reduceat(a, starts) for a in (
+            (count > 0).astype(np.int64), np.log10((count + 1) / room), log10))
+        n_known, base, scores = per_text
+        columns = [own.ids.column("id"), own.learn, own.lengths, n_known,
+                   np.full(len(starts), tokens), base, scores]
+        return pa.table(columns, names)
+
     return (
-        blocks.groupBy("block")
-        .cogroup(answered(keys, model, known, samples).groupBy("block"))
-        .applyInArrow(
-            score,
+        delivered(
+            numbered.unionByName(answers), groups, score,
             f"`{id_col}` {id_type}, learnt boolean, n_tokens long, n_known long, "
             "train_tokens long, base_score double, score double",
         )
         .withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
     )
-
-
-def _arrow_type(docs: DataFrame, column: str) -> pa.DataType:
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(docs.schema[column].dataType)
