@@ -63,7 +63,7 @@ from paneflow.llm.seating import scale, seat
 BURN_IN, SAMPLES = 2, 2
 STRENGTH = {"context": 5.0, "root": 10.0, "spelling": 2.0}
 SPELLING_DISCOUNT = 0.5
-BLOCK_BYTES = 12_000_000
+BLOCK_BYTES = 18_000_000
 BUCKET_BYTES = 16 << 20
 SEED = 4
 # Symbols of the spelling: bytes, the end of a word, the place before a word.
@@ -187,11 +187,11 @@ MAIL = "`to` long, kind int, sender long, body binary, extra binary, amount doub
 _MAIL = pa.schema([("to", pa.int64()), ("kind", pa.int32()), ("sender", pa.int64()),
                    ("body", pa.binary()), ("extra", pa.binary()), ("amount", pa.float64())])
 # To blocks.
-TEXTS, NUMBERS, WORD_ANSWER, PAIR_ANSWER = 1, 2, 3, 4
+TEXTS, NUMBERS, WORD_ANSWER, PAIR_COUNT, PAIR_ANSWER = 1, 2, 3, 4, 5
 # To word buckets.
 KEYS, VOCABULARY, ONCE, LIST, SUMS, STATE = 11, 12, 13, 14, 15, 16
 # To pair buckets.
-PAIRS, REPEATED, REPLY, TABLES = 21, 22, 23, 24
+PAIRS, REPEATED, REPLY, TABLES, ASKED = 21, 22, 23, 24, 25
 # To whoever sums the spelled symbols, by the first of them.
 SPELLED = 31
 # Amounts that Spark sums.
@@ -337,9 +337,9 @@ def vocabulary(rows: pa.Table) -> pa.Table:
     out.add(TOKENS=count[real].sum(), DISTINCT=real.sum(),
             WORD_ONE=(count[real] == 1).sum(), WORD_TWO=(count[real] == 2).sum())
     for block, words, _ in asked:
+        # Places rise with the words, those not learnt have none.
         at = np.array([place.get(w, -1) for w in words], dtype=np.int64)
-        seen = np.append(count, 0)[at] if len(known) else np.zeros(len(words), dtype=np.int64)
-        out.send(block, NUMBERS, bucket, put(at, seen))
+        out.send(block, NUMBERS, bucket, put(at >= 0, gaps(at[at >= 0]), count[at[at >= 0]]))
     return out.table()
 
 
@@ -370,9 +370,11 @@ class Block:
         local, lengths, learn = take(body)
         learn = learn.astype(bool)
         numbers = [(bucket, *take(body)) for bucket, body, _ in mail[NUMBERS]]
-        count = np.concatenate([n[2] for n in numbers])
-        words = np.concatenate([np.where(at >= 0, (bucket << _SHIFT) + at, -1) for bucket, at, _ in numbers])
-        n = len(words)
+        known = np.concatenate([n[1] for n in numbers])
+        n = len(known)
+        count, words = np.zeros(n, dtype=np.int64), np.full(n, -1, dtype=np.int64)
+        count[known] = np.concatenate([n[3] for n in numbers])
+        words[known] = np.concatenate([(bucket << _SHIFT) + np.cumsum(gap) for bucket, _, gap, _ in numbers])
         before = np.empty_like(local)
         before[1:] = local[:-1]
         before[np.cumsum(lengths) - lengths] = start
@@ -452,7 +454,8 @@ def _place(words: np.ndarray) -> np.ndarray:
 
 def merged_pairs(rows: pa.Table) -> pa.Table:
     """Pairs seen more than once, which have tables to draw, and for the word buckets
-    what all others add to their words for good."""
+    what all others add to their words for good. Blocks learn their pairs' counts, and
+    which of the repeated pairs they ask for stays here."""
     bucket, out = rows.column("to")[0].as_py(), Outbox()
     own = Pairs.read(inbox(rows)[PAIRS])
     n = len(own.words)
@@ -472,6 +475,12 @@ def merged_pairs(rows: pa.Table) -> pa.Table:
         for to, run in by_bucket(words):
             out.send(to, LIST, bucket, put(gaps(_place(words[run]))))
         _report(out, bucket, words, context, word, np.ones(len(count), dtype=np.int64))
+    rank = np.cumsum(more) - 1
+    for block, at in own.at:
+        out.send(block, PAIR_COUNT, bucket, put(own.count[at]))
+        asked = at[more[at]]
+        if len(asked):
+            out.send(bucket, ASKED, block, put(gaps(rank[asked])))
     out.add(ONE=once.sum(), TWO=(own.count == 2).sum())
     return out.table()
 
@@ -526,7 +535,7 @@ def seat_words(now: Totals, known: Known, number: int):
         real = real.astype(bool)
         n = len(words)
         if STATE in mail:
-            fixed, fixed_customers, _, _, seats, _ = take(mail[STATE][0][1])
+            fixed, fixed_customers, seats = take(mail[STATE][0][1])[:3]
         else:
             fixed, fixed_customers = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
             for _, body, _ in mail.get(ONCE, []):
@@ -550,8 +559,10 @@ def seat_words(now: Totals, known: Known, number: int):
         mass += (s + d * now.root_tables) * base
         for p, at in lists:
             out.send(p, REPLY, bucket, put(given[at].astype(np.float32), mass[at].astype(np.float32)))
+        # Only samples are asked for the rest.
+        shown = [opened, customers, base.astype(np.float32)] if number >= BURN_IN else []
         out.send(bucket, STATE, number,
-                 put(fixed, fixed_customers, opened, customers, seats, base.astype(np.float32)))
+                 put(fixed, fixed_customers, seats, *shown))
         code, start = spelled(words)
         lengths = np.diff(np.append(start, len(code)))
         codes, at = np.unique(code, return_inverse=True)
@@ -650,37 +661,25 @@ def answer_words(totals: list[Totals], known: Known):
         bucket, mail, out = rows.column("to")[0].as_py(), inbox(rows), Outbox()
         own = []
         for now, (_, body, _) in zip(totals, mail.get(STATE, [])):
-            _, _, opened, customers, seats, base = take(body)
+            _, _, seats, opened, customers, base = take(body)
             root = (customers - d * seats + (s + d * now.root_tables) * base) / (s + now.root_customers)
             own += [opened, root.astype(np.float32)]
         for block, body, _ in mail.get(NUMBERS, []):
-            at = take(body)[0]
-            at = at[at >= 0]
+            at = np.cumsum(take(body)[1])
             out.send(block, WORD_ANSWER, bucket, put(*(a[at] for a in own)))
         return out.table()
 
     return answer
 
 
-def answer_pairs(samples: int):
-    """For every block, counts of its pairs and their tables in every sample."""
-
-    def answer(rows: pa.Table) -> pa.Table:
-        bucket, mail, out = rows.column("to")[0].as_py(), inbox(rows), Outbox()
-        own = Pairs.read(mail[PAIRS])
-        more = own.count > 1
-        columns = [own.count]
-        drawn = [take(body)[0] for _, body, _ in mail.get(TABLES, [])]
-        for i in range(samples):
-            tables = np.minimum(own.count, 1)
-            if drawn:
-                tables[more] = drawn[i]
-            columns.append(tables)
-        for block, at in own.at:
-            out.send(block, PAIR_ANSWER, bucket, put(*(c[at] for c in columns)))
-        return out.table()
-
-    return answer
+def answer_pairs(rows: pa.Table) -> pa.Table:
+    """For every block, the tables of its repeated pairs in every sample."""
+    bucket, mail, out = rows.column("to")[0].as_py(), inbox(rows), Outbox()
+    drawn = [take(body)[0] for _, body, _ in mail.get(TABLES, [])]
+    for block, body, _ in mail.get(ASKED, []):
+        at = np.cumsum(take(body)[0])
+        out.send(block, PAIR_ANSWER, bucket, put(*(tables[at] for tables in drawn)))
+    return out.table()
 
 
 def pair_probabilities(block: Block, mail: dict[int, list], totals: list[Totals], known: Known) -> np.ndarray:
@@ -688,13 +687,14 @@ def pair_probabilities(block: Block, mail: dict[int, list], totals: list[Totals]
     d, s = known.context_discount, STRENGTH["context"]
     root_d, root_s = known.root_discount, STRENGTH["root"]
     words = [take(body) for _, body, _ in mail.get(WORD_ANSWER, [])]
-    pairs = {bucket: take(body) for bucket, body, _ in mail.get(PAIR_ANSWER, [])}
+    counts = {bucket: take(body)[0] for bucket, body, _ in mail.get(PAIR_COUNT, [])}
+    drawn = {bucket: take(body) for bucket, body, _ in mail.get(PAIR_ANSWER, [])}
     seen = np.nonzero(block.words >= 0)[0]
     shape = len(block.context)
     count = np.zeros(shape, dtype=np.int64)
     for bucket, at in enumerate(block.dealt):
         if len(at):
-            count[at] = pairs[bucket][0]
+            count[at] = counts[bucket]
     room = s + np.where(block.words >= 0, block.count, 0)
     total = np.zeros(shape)
     for i, now in enumerate(totals):
@@ -704,10 +704,10 @@ def pair_probabilities(block: Block, mail: dict[int, list], totals: list[Totals]
         if len(seen):
             opened[seen] = np.concatenate([w[2 * i] for w in words])
             root[seen] = np.concatenate([w[2 * i + 1] for w in words])
-        tables = np.zeros(shape, dtype=np.int64)
+        tables = np.minimum(count, 1)
         for bucket, at in enumerate(block.dealt):
-            if len(at):
-                tables[at] = pairs[bucket][i + 1]
+            if bucket in drawn:
+                tables[at[count[at] > 1]] = drawn[bucket][i]
         left = (s + d * opened) / room
         total += (count - d * tables) / room[block.context] + left[block.context] * root[block.word]
     return total / len(totals)
@@ -743,13 +743,13 @@ def score_texts(
     totals = [now for _, _, now in samples]
     # Messages go from the words' buckets back to the blocks that had asked.
     back = of(vocab, NUMBERS).withColumns({"to": F.col("sender"), "sender": F.col("to")})
-    of_words, of_pairs = back, asked
+    of_words, of_pairs = back, of(pairs, ASKED)
     for state, seated, _ in samples:
         of_words = of_words.unionByName(state)
         of_pairs = of_pairs.unionByName(seated)
     answers = delivered(of_words, buckets, answer_words(totals, known)).unionByName(
-        delivered(of_pairs, buckets, answer_pairs(SAMPLES))
-    )
+        delivered(of_pairs, buckets, answer_pairs)
+    ).unionByName(of(pairs, PAIR_COUNT))
     tokens, room = known.tokens, known.tokens + known.distinct + 1
     names = [id_col, "learnt", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 

@@ -156,9 +156,12 @@ def seat(
             proposed = (t - 1) * math.log(discount) + log_gamma(s / discount + t) - log_gamma(s / discount + 1)
             return t * np.log(a) - proposed
 
-        now = seated(c, s, discount, rng) if tables is None else np.clip(tables[rows], 1, c)
-        for _ in range(PROPOSALS):
-            new = seated(c, s, discount, rng)
+        # Proposals do not depend on the state, so all are seated side by side.
+        every = seated(np.tile(c, PROPOSALS + 1), np.tile(s, PROPOSALS + 1), discount, rng)
+        now, *proposals = every.reshape(PROPOSALS + 1, len(c))
+        if tables is not None:
+            now = np.clip(tables[rows], 1, c)
+        for new in proposals:
             accept = np.log(rng.random(len(c))) < ratio(new) - ratio(now)
             now = np.where(accept, new, now)
         out[rows] = now

@@ -176,7 +176,7 @@ def test_every_context_has_a_restaurant(spark, monkeypatch):
     for state, _, now in kept["samples"]:
         opened, customers, root = Counter(), Counter(), 0.0
         for r in state.collect():
-            _, _, o, c, t, base = pitman_yor.take(r.body)
+            _, _, t, o, c, base = pitman_yor.take(r.body)
             assert np.all(t <= c) and np.all((t > 0) == (c > 0))
             opened.update(dict(zip(vocab[r.to], o.tolist())))
             customers.update(dict(zip(vocab[r.to], c.tolist())))
