@@ -307,7 +307,11 @@ def split_blocks(texts: DataFrame, buckets: int) -> DataFrame:
             count = np.bincount(local[weight], minlength=len(number))
             count[place[0]] = learn.sum()
             out = Outbox()
-            out.send(block, TEXTS, int(place[0]), put(local, np.array(lengths), learn), pack(ids))
+            # Frequent words get small numbers, which take less room.
+            order = np.argsort(-np.bincount(local, minlength=len(number)), kind="stable")
+            rank = np.empty_like(order)
+            rank[order] = np.arange(len(order))
+            out.send(block, TEXTS, int(place[0]), put(rank[local], gaps(order), np.array(lengths), learn), pack(ids))
             at = 0
             for bucket, own in enumerate(dealt):
                 if own:
@@ -367,7 +371,8 @@ class Block:
     @staticmethod
     def read(mail: dict[int, list], buckets: int) -> Block:
         start, body, extra = mail[TEXTS][0]
-        local, lengths, learn = take(body)
+        rank, order, lengths, learn = take(body)
+        local = np.cumsum(order)[rank]
         learn = learn.astype(bool)
         numbers = [(bucket, *take(body)) for bucket, body, _ in mail[NUMBERS]]
         known = np.concatenate([n[1] for n in numbers])
