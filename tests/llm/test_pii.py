@@ -1,11 +1,14 @@
 """Spans against the plain patterns of the base kinds."""
 
+import hashlib
 import random
 import re
 
 from pyspark.sql import functions as F
 
-from paneflow.llm import pii
+from paneflow.llm import pii, queries
+
+SF = "/root/testdata/sf0.01"
 
 NAIVE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -46,6 +49,23 @@ def test_random_texts_match_the_plain_patterns():
         assert base(text) == naive(text), text
 
 
+def test_query_against_the_plain_patterns(spark):
+    """Counts, digest and order of every document of the query."""
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = queries.op5_pii(spark, SF).collect()
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    found = 0
+    for r in got:
+        spans = naive(texts[r.doc_id])
+        counts = [sum(s[0] == kind for s in spans) for kind in NAIVE]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == counts
+        joined = ["%s:%d:%d" % s for s in spans]
+        assert r.base_sha256 == hashlib.sha256(",".join(joined).encode()).hexdigest()
+        assert set(joined) <= set(r.spans.split(","))
+        found += len(spans)
+    assert found > 50
+
+
 def test_card_numbers():
     rng = random.Random(6)
     for n in range(14, 21):
