@@ -3,8 +3,9 @@
 import base64
 import gzip
 import hashlib
+import random
 
-from paneflow.llm import warc
+from paneflow.llm import queries, warc
 
 SCHEMA = "page_id long, url string, html string, payload string"
 
@@ -47,6 +48,20 @@ def test_odd_rows(spark, tmp_path):
     assert records.filter("target_uri LIKE '%Injected%'").first().target_uri == "u%0D%0AInjected:%201"
 
 
+def test_query_on_planted_copies(spark, tmp_path):
+    """Several thousand pages: a third share one payload, others come in small groups."""
+    rng = random.Random(9)
+    rows = []
+    for page in rng.sample(range(100_000), 4_000):
+        kind = rng.random()
+        html = "<p>hot</p>" if kind < 0.33 else f"<p>é{rng.randrange(900)}</p>" if kind < 0.8 else f"<i>{page}</i>"
+        rows.append((page, f"http://h{page % 7}.org/{page}", None if kind > 0.99 else html, None))
+    spark.createDataFrame(rows, SCHEMA).drop("payload").repartition(5).write.parquet(f"{tmp_path}/pages.parquet")
+    got = [tuple(r) for r in queries.op1_warc_revisits(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=repr) == brute(rows)
+    assert sum(r[3] == "revisit" for r in got) > 2_000
+
+
 def test_payloads_come_back_whole(spark, tmp_path):
     rows = [(i, f"http://h/{i}", f"page {i % 7} ü\r\n\r\n", "x") for i in range(50)]
     _, records = through(spark, rows, tmp_path)
