@@ -28,7 +28,8 @@ def event_time_panes(fired: DataFrame, layout: Layout, config: JobConfig) -> Dat
     list so far, with "delta" the one record. Panes are numbered in order of arrival."""
     kind = F.when(F.col("kind") == "on_time", ON_TIME).otherwise(ALLOWED)
     rows = of_kind(fired, "on_time", "refire").withColumn("status", kind).drop("kind")
-    panes = on_time_and_refires(rows, layout, part_rows=config.part_rows, refire=config.refire)
+    panes = on_time_and_refires(rows, layout, part_rows=config.part_rows, refire=config.refire,
+                                gather_rows=config.gather_rows)
     return records(panes)
 
 

@@ -64,6 +64,24 @@ def test_parts_do_not_change_results(spark, mode):
     assert kinds == {"on_time", "refire" if mode == "full" else "refire_delta"}
 
 
+def test_crowded_windows_send_the_same_parts(spark):
+    """Windows beyond what a task gathers, and windows cut from their lists."""
+    config = replace(CONFIG, part_rows=3)
+    cut = event_time_job(disordered(spark), LAYOUT, config).results
+    crowded = event_time_job(disordered(spark), LAYOUT, replace(config, gather_rows=5)).results
+    columns = sorted(cut.columns)
+    assert sorted(map(repr, crowded.select(columns).collect())) == sorted(map(repr, cut.select(columns).collect()))
+
+
+def test_small_parts_cost_no_shuffle(spark):
+    """Panes hold each record once per allowed-late row: they are cut where they are made."""
+    plans = [
+        event_time_job(disordered(spark), LAYOUT, replace(CONFIG, part_rows=n)).results
+        ._jdf.queryExecution().executedPlan().toString() for n in (100_000, 2)
+    ]
+    assert plans[1].count("Exchange") == plans[0].count("Exchange")
+
+
 def test_unknown_mode_is_refused():
     with pytest.raises(ValueError):
         JobConfig(refire="some")
