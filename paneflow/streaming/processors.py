@@ -7,17 +7,23 @@ the watermark of the job, and a timer for job time t is set at t less that shift
 
 State is kept per bucket of keys and window, not per key: all windows of a bucket
 that end together share their timers, and one call serves all their rows. What is
-kept is a map from the digest of a record to the record, so a record delivered again
+kept are the records and the digests of all of them, so a record delivered again
 changes nothing. Operators send single rows, told apart by `kind`; lists are put
 together from them by Spark (`streaming.results`). A call never holds more than the
 rows of its batch and `CHUNK` rows of state.
+
+Every access to state is a round trip to the JVM, so state is kept many rows at a time:
+records in numbered packs, digests in shards by their first hex digits. A window starts
+with one shard and splits all of them by one more digit when they hold `SHARD_ROWS` on
+average, so a row costs the rewriting of a few KB at most, however long the window.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import islice
+from itertools import product
 
 import pandas as pd
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -28,6 +34,10 @@ WAKE_MS = 1
 # Window of rows that have none because they could not be read.
 NO_WINDOW = -(1 << 62)
 CHUNK = 10_000
+SHARD_ROWS = 256
+# A pack ends with the row that brings it to this many rows or characters.
+PACK_ROWS, PACK_CHARS = 1_000, 1 << 18
+DIGEST_BYTES = 32
 COLUMNS = ("w_start", "kind", "fired_at", "fresh", "body")
 
 
@@ -45,13 +55,17 @@ class WindowProcessor(StatefulProcessor):
     """What both kinds of window have in common."""
 
     INFO = "fired boolean, next_early bigint"
+    SIZE = "n_rows bigint, packs bigint, depth int"
 
     def __init__(self, settings: WindowSettings):
         self.s = settings
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getMapState("seen", "digest string", "body string")
+        self.seen = handle.getMapState("digests", "shard string", "digests binary")
+        # Bodies are JSON texts, in which line ends are escaped, and so go line by line.
+        self.packs = handle.getMapState("packs", "number bigint", "bodies string")
+        self.size = handle.getValueState("size", self.SIZE)
         self.info = handle.getValueState("info", self.INFO)
 
     def close(self) -> None:
@@ -59,6 +73,8 @@ class WindowProcessor(StatefulProcessor):
 
     def _clear(self) -> None:
         self.seen.clear()
+        self.packs.clear()
+        self.size.clear()
         self.info.clear()
 
     def _now(self, timers) -> int | None:
@@ -77,14 +93,72 @@ class WindowProcessor(StatefulProcessor):
 
     def _store(self, incoming: pd.DataFrame) -> list[bool]:
         """Keep records not seen before; says which rows those were."""
-        fresh = []
-        for digest, body in zip(incoming["digest"].tolist(), incoming["body"].tolist()):
-            known = self.seen.containsKey((digest,))
-            if not known:
-                self.seen.updateValue((digest,), (body,))
-            fresh.append(not known)
+        digests, bodies = incoming["digest"].tolist(), incoming["body"].tolist()
+        n_rows, packs, depth = self._size()
+        while n_rows + len(digests) > SHARD_ROWS << (4 * depth):
+            if n_rows:
+                self._split(depth)
+            depth += 1
+        by_shard = defaultdict(list)
+        for place, digest in enumerate(digests):
+            by_shard[digest[:depth]].append(place)
+        fresh = [False] * len(digests)
+        for shard, places in by_shard.items():
+            held = self._shard(shard) if n_rows else []
+            known, before = set(held), len(held)
+            for place in places:
+                digest = bytes.fromhex(digests[place])
+                if digest not in known:
+                    known.add(digest)
+                    held.append(digest)
+                    fresh[place] = True
+            if len(held) > before:
+                self._put_shard(shard, held)
+        added = [body for body, new in zip(bodies, fresh) if new]
+        for pack in self._packed(added):
+            self.packs.updateValue((packs,), ("\n".join(pack),))
+            packs += 1
+        if added:
+            self.size.update((n_rows + len(added), packs, depth))
         return fresh
 
+    def _size(self) -> tuple[int, int, int]:
+        """Rows kept, packs, and hex digits that tell shards apart."""
+        return tuple(self.size.get()) if self.size.exists() else (0, 0, 0)
+
+    def _shard(self, shard: str) -> list[bytes]:
+        key = ("#" + shard,)
+        if not self.seen.containsKey(key):
+            return []
+        held = bytes(self.seen.getValue(key)[0])
+        return [held[i:i + DIGEST_BYTES] for i in range(0, len(held), DIGEST_BYTES)]
+
+    def _put_shard(self, shard: str, digests: list[bytes]) -> None:
+        self.seen.updateValue(("#" + shard,), (b"".join(digests),))
+
+    def _split(self, depth: int) -> None:
+        """Tell shards apart by one more digit."""
+        for digits in product("0123456789abcdef", repeat=depth):
+            shard, parts = "".join(digits), defaultdict(list)
+            for digest in self._shard(shard):
+                parts[digest.hex()[:depth + 1]].append(digest)
+            for part, digests in parts.items():
+                self._put_shard(part, digests)
+            if parts:
+                self.seen.removeKey(("#" + shard,))
+
+    @staticmethod
+    def _packed(bodies: list[str]) -> Iterator[list[str]]:
+        pack, chars = [], 0
+        for body in bodies:
+            pack.append(body)
+            chars += len(body)
+            if len(pack) >= PACK_ROWS or chars >= PACK_CHARS:
+                yield pack
+                pack, chars = [], 0
+        if pack:
+            yield pack
+
     def _frame(self, start: int, kind: str, bodies: list[str], fresh=True, at: int = 0) -> pd.DataFrame:
         n = len(bodies)
         marks = fresh if isinstance(fresh, list) else [fresh] * n
@@ -93,8 +167,14 @@ class WindowProcessor(StatefulProcessor):
 
     def _contents(self, start: int, kind: str, at: int = 0) -> Iterator[pd.DataFrame]:
         """All records of the window, some at a time."""
-        stored = self.seen.values()
-        while chunk := [value[0] for value in islice(stored, CHUNK)]:
+        chunk = []
+        for number in range(self._size()[1]):
+            pack = self.packs.getValue((number,))[0].split("\n")
+            if len(chunk) + len(pack) > CHUNK:
+                yield self._frame(start, kind, chunk, at=at)
+                chunk = []
+            chunk += pack
+        if chunk:
             yield self._frame(start, kind, chunk, at=at)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:

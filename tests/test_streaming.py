@@ -1,8 +1,10 @@
 """The running jobs: restarts, redelivery, hot keys, purge, dead letters, sinks, sources."""
 
+import hashlib
 import time
 from dataclasses import replace
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +17,7 @@ from paneflow.sources.payload import company_columns, decode_registry, parse_com
 from paneflow.sources.synthetic import synthetic_stream
 from paneflow.streaming import results
 from paneflow.streaming.jobs import custom_window_stream, event_time_stream, ingestion_time_stream, prepare
+from paneflow.streaming.processors import LatenessProcessor
 from paneflow.streaming.replay import Replay
 from paneflow.streaming.sinks import LateCounter, result_messages, start_messages, start_results
 from paneflow.streaming.table import ResultTable
@@ -302,3 +305,51 @@ def test_paced_load_drives_the_job(spark, tmp_path):
     got = [(r.id, len(r.companies)) for r in lists.filter(F.col("w_start") == BASE // 20_000 * 20_000).collect()]
     # 8, 16 and 24 s after a multiple of 20 s: two or three batches to a window.
     assert sorted(i for i, _ in got) == list(range(10)) and {n for _, n in got} <= {2, 3}
+
+
+class _Kept:
+    """A state variable in memory that counts accesses."""
+
+    calls = 0
+
+    def __init__(self):
+        self.held = {}
+
+    def __getattr__(self, name):
+        held = self.held
+        done = {
+            "exists": lambda: bool(held), "clear": lambda: held.clear(),
+            "get": lambda: held.get("it"), "update": lambda v: held.update(it=v),
+            "containsKey": lambda k: k in held, "getValue": lambda k: held[k],
+            "updateValue": lambda k, v: held.update({k: v}), "removeKey": lambda k: held.pop(k),
+            "values": lambda: iter(list(held.values())),
+        }[name]
+
+        def call(*args):
+            _Kept.calls += 1
+            return done(*args)
+        return call
+
+
+class _Handle:
+    getMapState = getValueState = lambda self, *_: _Kept()
+
+
+def test_state_is_kept_many_rows_at_a_time():
+    """Long windows cost fewer accesses to state than rows; records, copies and freshness as
+    with one entry per record, in one batch or many."""
+    bodies = [f'{{"n":{i}}}' for i in range(9_000)]
+    frame = pd.DataFrame({"digest": [hashlib.sha256(b.encode()).hexdigest() for b in bodies], "body": bodies})
+    for size in (9_000, 700):
+        own = LatenessProcessor(None)
+        own.init(_Handle())
+        _Kept.calls = 0
+        for i in range(0, 9_000, size):
+            part = frame[i:i + size]
+            assert own._store(pd.concat([part, part[:5]])) == [True] * len(part) + [False] * 5
+        assert _Kept.calls < 9_000
+        assert not any(own._store(frame[5:600:7]))
+        shown = [b for f in own._contents(0, "on_time") for b in f["body"]]
+        assert shown == bodies
+        own._clear()
+        assert list(own._contents(0, "on_time")) == []
