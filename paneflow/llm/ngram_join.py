@@ -17,9 +17,12 @@ are ordered after the counted rare ones. The order decides the work, never the r
 
 Within an index entry pairs are not enumerated. Each document is first paired with two
 pivots of its entry, a linear number of pairs; pairs that the prefixes alone rule out go,
-the rest are verified on whole texts, and linked documents become components. Only entries
-that still span several components are then joined with themselves, for pairs of different
-components. Every link between different components is found, so components are exact.
+the rest are verified on whole texts, and linked documents become components. Entries of many
+documents that still span several components get a further pivot, drawn for each entry, so
+that documents which link with many others but not with the first pivots join them now. Only
+entries that still span several components are then joined with themselves, for pairs of
+different components; a pair that meets in many long entries leaves one of them only. Every
+link between different components is found, so components are exact.
 
 Each set carries a sketch: for every bit, whether an odd number of its tokens falls on it.
 A bit in which two sketches differ stands for at least one token that only one of the sets
@@ -67,6 +70,8 @@ COMBINE_MOST = 640
 SKETCH_BITS = 1024
 # Sets beyond this size differ in too many bits for sketches; their prefixes are compared.
 SKETCHED = 2000
+# Open entries of more documents than this get another pivot and compare prefixes.
+CROWDED = 64
 COUNT_BUCKET_BYTES = 24 << 20
 FLUSH_TOKENS = 1_000_000
 # Ranks: counted rare tokens, then the uncounted, then frequent ones by their count.
@@ -238,6 +243,11 @@ def signed_sets(
     )
 
 
+def _pair_entry(t: Column, s: Column) -> Column:
+    # Negative, apart from single tokens.
+    return F.xxhash64(t, s).bitwiseOR(F.lit(-(1 << 63)))
+
+
 def signatures(prefix: Column, n: Column, percent: int) -> Column:
     """Index entries of a prefix: rare tokens, and pairs or singles of frequent ones."""
     rare = F.filter(prefix, lambda t: t < _FREQUENT)
@@ -247,8 +257,7 @@ def signatures(prefix: Column, n: Column, percent: int) -> Column:
             often,
             lambda t, i: F.transform(
                 F.slice(often, i + 2, F.greatest(F.size(often) - i - 1, F.lit(0))),
-                # Negative, apart from single tokens.
-                lambda s: F.xxhash64(t, s).bitwiseOR(F.lit(-(1 << 63))),
+                lambda s: _pair_entry(t, s),
             ),
         )
     )
@@ -292,6 +301,16 @@ def _may_link(a: str, b: str, percent: int) -> Column:
     return _sizes_allow(a, b, percent) & only(pa_, pb, na) & only(pb, pa_, nb)
 
 
+def _meet_here(a: str, b: str, entry: str) -> Column:
+    """Whether an entry is the first that two sets share: that of their least common rare
+    token, else of their two least common frequent ones, else of a single frequent one."""
+    common = F.array_intersect(F.col(f"{a}_prefix"), F.col(f"{b}_prefix"))
+    first, second = F.get(common, F.lit(0)), F.get(common, F.lit(1))
+    paired = (F.col(f"{a}_n") <= COMBINE_MOST) & (F.col(f"{b}_n") <= COMBINE_MOST)
+    least = F.when((first < _FREQUENT) | ~paired, first).otherwise(_pair_entry(first, second))
+    return F.col(entry) == least
+
+
 def verified(pairs: DataFrame, texts: DataFrame, percent: int, n: int) -> DataFrame:
     """The pairs `a`, `b` whose whole texts link."""
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("a_text"))
@@ -382,6 +401,23 @@ def near_duplicates(
     )
 
 
+def _placed(shared: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Postings with the `component` of their node, and the entries that span several
+    components: whether `_crowded`, and a `_pivot` drawn by hash, its node and component."""
+    parts = written(connected_components(links), "components")
+    placed = shared.select("entry", "node").join(parts, "node", "left").select(
+        "entry", "node", F.coalesce("component", "node").alias("component")
+    )
+    drawn = F.min_by(F.struct("node", "component"), F.xxhash64("node", "entry"))
+    entries = placed.groupBy("entry").agg(
+        F.min("component").alias("_low"),
+        F.max("component").alias("_high"),
+        (F.count(F.lit(1)) > CROWDED).alias("_crowded"),
+        drawn.alias("_pivot"),
+    )
+    return placed, entries.filter("_low < _high").drop("_low", "_high")
+
+
 def _links(reps: DataFrame, texts: DataFrame, percent: int, n: int) -> DataFrame:
     """Verified links `a`, `b` between representatives that connect all that link."""
     postings = reps.select(
@@ -397,19 +433,24 @@ def _links(reps: DataFrame, texts: DataFrame, percent: int, n: int) -> DataFrame
         F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")
     )
     near = _verified_among(_paired(to_pivots, reps, percent), texts, percent, n)
-    parts = written(connected_components(near), "components")
-    placed = shared.select("entry", "node").join(parts, "node", "left").select(
-        "entry", "node", F.coalesce("component", "node").alias("component")
-    )
-    open_entries = placed.groupBy("entry").agg(
-        F.min("component").alias("_low"), F.max("component").alias("_high")
-    ).filter("_low < _high").select("entry")
-    # Where an entry may be long and sketches do not tell, prefixes are tested in the join.
+    placed, open_entries = _placed(shared, near)
+    crowded = written(open_entries.filter("_crowded").select("entry", "_pivot"), "crowded")
+    if crowded.count():
+        again = placed.join(crowded, "entry").filter("component <> _pivot.component").select(
+            F.greatest("node", "_pivot.node").alias("a"), F.least("node", "_pivot.node").alias("b")
+        )
+        near = near.unionByName(
+            _verified_among(_paired(again, reps, percent), texts, percent, n)
+        )
+        placed, open_entries = _placed(shared, near)
+    # Where an entry may be long and sketches do not tell, and where many documents meet,
+    # prefixes are tested in the join.
     long_entry = (F.col("n") > SKETCHED) & ((F.col("entry") < 0) | (F.col("entry") >= _FREQUENT))
     live = written(
-        placed.join(open_entries, "entry", "left_semi")
+        placed.join(open_entries.select("entry", "_crowded"), "entry")
         .join(reps.select("node", "n", "prefix", "sketch"), "node")
-        .withColumn("prefix", F.when(long_entry, F.col("prefix"))),
+        .withColumn("prefix", F.when(long_entry | F.col("_crowded"), F.col("prefix")))
+        .drop("_crowded"),
         "open",
     )
     held = ("node", "component", "n", "prefix", "sketch")
@@ -428,7 +469,7 @@ def _links(reps: DataFrame, texts: DataFrame, percent: int, n: int) -> DataFrame
         & (
             F.col("a_prefix").isNull()
             | F.col("b_prefix").isNull()
-            | _may_link("a", "b", percent)
+            | (_meet_here("a", "b", "entry") & _may_link("a", "b", percent))
         ),
     ).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
     far = _verified_among(_paired(across, reps, percent), texts, percent, n)

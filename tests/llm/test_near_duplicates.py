@@ -69,6 +69,35 @@ def test_texts(spark, monkeypatch, rare_most):
     assert ngram_join.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_group_of_near_copies(spark, monkeypatch):
+    """120 variants of one text, most of which link but not with the first pivots: the pairs
+    that the last join leaves do not grow with the group's entries."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(150)]
+    rows = [(i, " ".join(words[:1] + [w if rng.random() < 0.985 else f"x{rng.random()}" for w in words[1:]]))
+            for i in range(120)]
+    sets = {i: shingles(t) for i, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < b
+             and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b])]
+    want = components(sets, links)
+    paired, made = ngram_join._paired, []
+
+    def counted(pairs, *rest):
+        made.append(pairs.count())
+        return paired(pairs, *rest)
+
+    monkeypatch.setattr(ngram_join, "_paired", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    last = []
+    # With entries of every size left to the last join, and with the pivots drawn for them.
+    for crowded in (1_000_000, ngram_join.CROWDED):
+        monkeypatch.setattr(ngram_join, "CROWDED", crowded)
+        got = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(docs).collect()}
+        assert got == want and len(links) > 500
+        last.append(made[-1])
+    assert len(made) == 5 and last[1] * 4 < last[0]
+
+
 def vectors():
     rng = np.random.default_rng(4)
     rows, node = [], 0
