@@ -80,14 +80,6 @@ _UNCOUNTED, _FREQUENT = 1 << 60, (1 << 62) + (1 << 61)
 _A, _B, _C = (np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 100_000:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x ^= x >> np.uint64(31)
     x *= np.uint64(0xBF58476D1CE4E5B9)
@@ -97,17 +89,19 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def token_set(text: str, known: _Hashes, n: int = WORDS) -> np.ndarray:
+def token_set(text: str, n: int = WORDS) -> np.ndarray:
     """Sorted distinct tokens of a text."""
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.zeros(0, dtype=np.uint64)
-    own = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+    own = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=len(words))
     width = min(n, len(words))
     total = np.full(len(own) - width + 1, width, dtype=np.uint64)
     for i in range(width):
         total = total * _A + own[i:len(own) - width + 1 + i] * _B + _C
-    return np.unique(_mixed(total))
+    total = _mixed(total)
+    total.sort()
+    return total[np.concatenate([[True], total[1:] != total[:-1]])]
 
 
 def least_overlap(a: Column, b: Column, percent: int) -> Column:
@@ -123,12 +117,12 @@ def token_counts(texts: DataFrame, buckets: int, n: int) -> DataFrame:
         distinct, count = np.unique(np.concatenate(tokens), return_counts=True)
         told = (distinct < _LOW) | (count > 1)
         # Spread the counted quarter over the whole range for even buckets.
-        distinct, count = _mixed(distinct[told]), count[told]
-        order = np.argsort(distinct)
-        distinct, count = distinct[order], count[order]
+        spread = _mixed(distinct[told])
+        order = np.argsort(spread)
+        distinct, count = distinct[told][order], count[told][order]
         # Equal shares of the token range; a token is in the same one in every task.
         edges = [(i << 64) // buckets for i in range(1, buckets)]
-        cuts = np.searchsorted(distinct, np.array(edges, dtype=np.uint64))
+        cuts = np.searchsorted(spread[order], np.array(edges, dtype=np.uint64))
         low = np.split(distinct, cuts), np.split(count.astype(np.uint32), cuts)
         for bucket, (own, times) in enumerate(zip(*low)):
             if len(own):
@@ -139,10 +133,10 @@ def token_counts(texts: DataFrame, buckets: int, n: int) -> DataFrame:
                 )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, seen, held, size = _Hashes(), set(), [], 0
+        seen, held, size = set(), [], 0
         for batch in few_at_a_time(batches):
             for text in batch.column(0).to_pylist():
-                tokens = token_set(text, known, n)
+                tokens = token_set(text, n)
                 digest = hashlib.blake2b(tokens.tobytes(), digest_size=8).digest()
                 if digest in seen:
                     continue
@@ -172,7 +166,7 @@ def token_counts(texts: DataFrame, buckets: int, n: int) -> DataFrame:
 
 
 def frequent_tokens(texts: DataFrame, buckets: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The known frequent tokens (mixed once more), sorted, and their ranks by count."""
+    """The known frequent tokens, sorted, and their ranks by count."""
     rows = token_counts(texts, buckets, n).collect()
     tokens = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(bytes(r["tokens"]), np.uint64) for r in rows)])
     counts = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(bytes(r["counts"]), np.int64) for r in rows)])
@@ -187,9 +181,9 @@ def ranks(tokens: np.ndarray, frequent: np.ndarray, order: np.ndarray) -> np.nda
     low = (tokens >> np.uint64(2)).astype(np.int64)
     out = np.where(tokens < _LOW, low, low + _UNCOUNTED)
     if len(frequent):
-        mixed = _mixed(tokens.copy())
-        at = np.minimum(np.searchsorted(frequent, mixed), len(frequent) - 1)
-        known = frequent[at] == mixed
+        # Both are sorted, so that neighbours are looked up near each other.
+        at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
+        known = frequent[at] == tokens
         out[known] = _FREQUENT + order[at[known]]
     out.sort()
     return out
@@ -215,11 +209,11 @@ def signed_sets(
     longs = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, (tokens_known, order) = _Hashes(), shared.value
+        tokens_known, order = shared.value
         for batch in few_at_a_time(batches):
             sizes, digests, prefixes, sketches = [], [], [], []
             for text in batch.column("_text").to_pylist():
-                tokens = token_set(text, known, n)
+                tokens = token_set(text, n)
                 sizes.append(len(tokens))
                 digests.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest())
                 sketches.append(sketch(tokens))
@@ -269,6 +263,15 @@ def signatures(prefix: Column, n: Column, percent: int) -> Column:
     )
 
 
+def _in_turn(*tests: Column) -> Column:
+    """Whether all tests hold, each made only where those before it do. Of tests joined by
+    `&` Spark makes the parts that occur twice for every row, before the first test."""
+    out = tests[-1]
+    for test in reversed(tests[:-1]):
+        out = F.when(test, out).otherwise(F.lit(False))
+    return out
+
+
 def _sizes_allow(a: str, b: str, percent: int) -> Column:
     na, nb = F.col(f"{a}_n"), F.col(f"{b}_n")
     return (na * percent <= nb * 100) & (nb * percent <= na * 100)
@@ -284,7 +287,7 @@ def _sketches_allow(a: str, b: str, percent: int) -> Column:
     # The first quarter alone rules out most pairs.
     first, rest = apart[:len(apart) // 4], apart[len(apart) // 4:]
     total = sum(first[1:], first[0])
-    return (total <= most) & (sum(rest, total) <= most)
+    return _in_turn(total <= most, sum(rest, total) <= most)
 
 
 def _may_link(a: str, b: str, percent: int) -> Column:
@@ -298,7 +301,7 @@ def _may_link(a: str, b: str, percent: int) -> Column:
         beyond = F.filter(F.array_except(own, other), lambda t: t <= F.element_at(other, -1))
         return F.size(beyond) <= size - need
 
-    return _sizes_allow(a, b, percent) & only(pa_, pb, na) & only(pb, pa_, nb)
+    return _in_turn(_sizes_allow(a, b, percent), only(pa_, pb, na), only(pb, pa_, nb))
 
 
 def _meet_here(a: str, b: str, entry: str) -> Column:
@@ -317,14 +320,14 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int, n: int) -> DataFr
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("b_text"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, last, own = _Hashes(), None, None
+        last, own = None, None
         for batch in few_at_a_time(batches):
             a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
             keep = []
             for i, node in enumerate(a):
                 if node != last:
-                    last, own = node, token_set(batch.column("a_text")[i].as_py(), known, n)
-                other = token_set(batch.column("b_text")[i].as_py(), known, n)
+                    last, own = node, token_set(batch.column("a_text")[i].as_py(), n)
+                other = token_set(batch.column("b_text")[i].as_py(), n)
                 both = len(np.intersect1d(own, other, assume_unique=True))
                 keep.append(100 * both >= percent * (len(own) + len(other) - both))
             mask = pa.array(keep, pa.bool_())
@@ -415,7 +418,7 @@ def _placed(shared: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
         (F.count(F.lit(1)) > CROWDED).alias("_crowded"),
         drawn.alias("_pivot"),
     )
-    return placed, entries.filter("_low < _high").drop("_low", "_high")
+    return placed, written(entries.filter("_low < _high").drop("_low", "_high"), "open_entries")
 
 
 def _links(reps: DataFrame, texts: DataFrame, percent: int, n: int) -> DataFrame:
@@ -434,15 +437,15 @@ def _links(reps: DataFrame, texts: DataFrame, percent: int, n: int) -> DataFrame
     )
     near = _verified_among(_paired(to_pivots, reps, percent), texts, percent, n)
     placed, open_entries = _placed(shared, near)
-    crowded = written(open_entries.filter("_crowded").select("entry", "_pivot"), "crowded")
+    crowded = open_entries.filter("_crowded").select("entry", "_pivot")
     if crowded.count():
         again = placed.join(crowded, "entry").filter("component <> _pivot.component").select(
             F.greatest("node", "_pivot.node").alias("a"), F.least("node", "_pivot.node").alias("b")
         )
-        near = near.unionByName(
-            _verified_among(_paired(again, reps, percent), texts, percent, n)
-        )
-        placed, open_entries = _placed(shared, near)
+        more = _verified_among(_paired(again, reps, percent), texts, percent, n)
+        if more.count():
+            near = near.unionByName(more)
+            placed, open_entries = _placed(shared, near)
     # Where an entry may be long and sketches do not tell, and where many documents meet,
     # prefixes are tested in the join.
     long_entry = (F.col("n") > SKETCHED) & ((F.col("entry") < 0) | (F.col("entry") >= _FREQUENT))
@@ -462,14 +465,13 @@ def _links(reps: DataFrame, texts: DataFrame, percent: int, n: int) -> DataFrame
     across = a.join(
         b,
         (F.col("entry") == F.col("_entry"))
-        & (F.col("a_node") > F.col("b_node"))
-        & (F.col("a_component") != F.col("b_component"))
-        & _sizes_allow("a", "b", percent)
-        & _sketches_allow("a", "b", percent)
-        & (
+        & _in_turn(
+            (F.col("a_node") > F.col("b_node")) & (F.col("a_component") != F.col("b_component")),
+            _sizes_allow("a", "b", percent),
+            _sketches_allow("a", "b", percent),
             F.col("a_prefix").isNull()
             | F.col("b_prefix").isNull()
-            | (_meet_here("a", "b", "entry") & _may_link("a", "b", percent))
+            | _in_turn(_meet_here("a", "b", "entry"), _may_link("a", "b", percent)),
         ),
     ).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
     far = _verified_among(_paired(across, reps, percent), texts, percent, n)

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from paneflow.llm import embedding_dedup, ngram_join
 from paneflow.llm.components import connected_components
@@ -98,6 +99,28 @@ def test_group_of_near_copies(spark, monkeypatch):
     assert len(made) == 5 and last[1] * 4 < last[0]
 
 
+def test_costly_tests_only_for_pairs_that_sizes_allow(spark, monkeypatch):
+    """Which entry a pair leaves is asked only of pairs whose sizes allow a link: the division
+    fails for any other, and Spark made it for every pair of an entry when it occurs twice."""
+    meet_here = ngram_join._meet_here
+
+    def checked(a, b, entry):
+        probe = F.lit(1) / F.when(ngram_join._sizes_allow(a, b, ngram_join.PERCENT), 1).otherwise(0)
+        return meet_here(a, b, entry) & (probe > 0) & (probe < 2)
+
+    monkeypatch.setattr(ngram_join, "_meet_here", checked)
+    monkeypatch.setattr(ngram_join, "RARE_MOST", 1)
+    rng = random.Random(11)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(i, " ".join(passage + [f"w{rng.randrange(40)}" for _ in range(3 * i)])) for i in range(60)]
+    sets = {i: shingles(t) for i, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < b
+             and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(docs).collect()}
+    assert got == components(sets, links)
+
+
 def vectors():
     rng = np.random.default_rng(4)
     rows, node = [], 0
