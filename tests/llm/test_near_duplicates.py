@@ -101,7 +101,7 @@ def test_group_of_near_copies(spark, monkeypatch):
 
 def test_costly_tests_only_for_pairs_that_sizes_allow(spark, monkeypatch):
     """Which entry a pair leaves is asked only of pairs whose sizes allow a link: the division
-    fails for any other, and Spark made it for every pair of an entry when it occurs twice."""
+    fails for any other. It guards the order of the tests, not their time."""
     meet_here = ngram_join._meet_here
 
     def checked(a, b, entry):
@@ -109,10 +109,14 @@ def test_costly_tests_only_for_pairs_that_sizes_allow(spark, monkeypatch):
         return meet_here(a, b, entry) & (probe > 0) & (probe < 2)
 
     monkeypatch.setattr(ngram_join, "_meet_here", checked)
-    monkeypatch.setattr(ngram_join, "RARE_MOST", 1)
-    rng = random.Random(11)
-    passage = [f"p{i}" for i in range(60)]
-    rows = [(i, " ".join(passage + [f"w{rng.randrange(40)}" for _ in range(3 * i)])) for i in range(60)]
+    monkeypatch.setattr(ngram_join, "CROWDED", 1)
+    # Five texts of four lengths share a passage of their own, which their prefixes hold.
+    common = [f"w{i}" for i in range(240)]
+    rows = []
+    for g in range(8):
+        for size in (60, 120, 180, 240, 240):
+            words = [f"p{g}_{i}" for i in range(30)] + common[:size] + [f"e{len(rows)}"]
+            rows.append((len(rows), " ".join(words)))
     sets = {i: shingles(t) for i, t in rows}
     links = [(a, b) for a in sets for b in sets if a < b
              and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b])]
