@@ -12,6 +12,7 @@ takes no text without words, so the last stage has none. Columns besides those o
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ from paneflow.llm import exact_dedup, mixing, ngram_join, sentencepiece_codec, t
 from paneflow.llm.common import read_table, text_or_empty, written
 from paneflow.llm.queries import piece_model
 from paneflow.operators.skew import broadcast_if_small
+from paneflow.session import small_batches
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 TOXIC = 0.5
@@ -71,12 +73,24 @@ def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+
+def _lean(stage: Stage) -> Stage:
+    """The stage in small batches: an executor keeps what its largest stage took, and all
+    five run in the same ones."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(small_batches(spark), docs, sf_dir)
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("toxicity", toxicity_stage),
-    ("exact_dedup", exact_dedup_stage),
-    ("ngram_join", ngram_join_stage),
-    ("mixing", mixing_stage),
-    ("sentencepiece", sentencepiece_stage),
+    ("toxicity", _lean(toxicity_stage)),
+    ("exact_dedup", _lean(exact_dedup_stage)),
+    ("ngram_join", _lean(ngram_join_stage)),
+    ("mixing", _lean(mixing_stage)),
+    ("sentencepiece", _lean(sentencepiece_stage)),
 ]
 
 # A fitted classifier decides the first stage, which SQL cannot express.

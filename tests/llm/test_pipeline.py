@@ -2,6 +2,7 @@
 
 import collections
 
+import pyarrow as pa
 import sentencepiece as spm
 from pyspark.sql import functions as F
 
@@ -113,3 +114,18 @@ def test_odd_rows_in_every_stage(spark):
     encoded = {(r.doc_id, r.n_tokens) for r in stages["sentencepiece"](spark, odd, SF).collect()}
     assert (4, 1) in encoded and (5, 1) in encoded and len(encoded) >= 8
     assert stages["sentencepiece"](spark, odd.limit(0), SF).count() == 0
+
+
+def test_stages_send_small_batches(spark):
+    docs = spark.createDataFrame([(i, f"text number {i}", "en", "a", 1) for i in range(3000)],
+                                 "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+
+    def rows_of(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    for _, stage in cp.STAGES:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        stage(spark, docs.limit(0), SF)
+        sent = [r.n for r in docs.mapInArrow(rows_of, "n long").collect()]
+        assert sum(sent) == 3000 and max(sent) <= 500
