@@ -1,5 +1,8 @@
 """Lateness at its boundaries, re-fire modes, parts, hot keys, sinks, and stream against batch."""
 
+import os
+import subprocess
+import sys
 from dataclasses import replace
 from datetime import datetime, timedelta
 
@@ -11,6 +14,8 @@ from paneflow.functions.time import with_windows
 from paneflow.layout import Layout
 from paneflow.operators.lateness import with_status
 from paneflow.operators.lists import concat_lists
+from paneflow.operators.panes import on_time_and_refires
+from paneflow.operators.skew import hot_groups_and_tasks
 from paneflow.operators.watermark import row_watermark
 from paneflow.plans.batch import event_time_job
 from paneflow.sources.payload import parse_avro
@@ -82,6 +87,72 @@ def test_small_parts_cost_no_shuffle(spark):
     assert plans[1].count("Exchange") == plans[0].count("Exchange")
 
 
+# The panes of this window's 2,000 allowed-late rows hold some 6 million records together.
+MANY_PANES = """
+from pyspark.sql import SparkSession, functions as F
+from paneflow.config import JobConfig
+from paneflow.layout import Layout
+from paneflow.plans.batch import event_time_job
+
+spark = (SparkSession.builder.master("local[1]").config("spark.driver.memory", "512m")
+         .config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "1").getOrCreate())
+layout = Layout(("k",), "ms", ("arr", "n"), ("n", "ms"))
+i = F.col("id")
+ms = F.when(i == 2000, 30_500).otherwise(i % 19_000)
+rows = spark.range(4001).select(F.lit(1).alias("k"), ms.alias("ms"), i.alias("arr"), i.alias("n"))
+panes = event_time_job(rows, layout, JobConfig()).results
+print("PANES", *panes.agg(F.count("*"), F.sum(F.size("companies"))).first())
+"""
+
+
+def test_panes_of_a_window_pass_one_by_one():
+    """A task never keeps all panes of a window, each with the window's list (1 GB here)."""
+    out = subprocess.run([sys.executable, "-c", MANY_PANES], env=dict(os.environ),
+                         capture_output=True, text=True, timeout=300)
+    late = 2000
+    records = 1 + late + sum(late + n for n in range(1, late + 1))
+    assert f"PANES {2 + late} {records}" in out.stdout, out.stderr[-2000:]
+
+
+@pytest.mark.parametrize("gather_rows", [100_000, 4])
+def test_panes_against_a_plain_walk(spark, gather_rows):
+    """Copies, rows of equal arrival, and on-time rows that come after a mark."""
+    rows = [(k, (i * 37) % 50, 10 + i // 3, i % 7, i % 7, i % 2) for k in (1, 2) for i in range(40)]
+    rows += [(3, i, 5, i, i, 1) for i in range(4)] + [(None, 1, None, None, 1, 1), (None, 2, 3, 1, 2, 0)]
+    layout = Layout(("k",), "ms", ("arr", "n"), ("ms", "v"))
+    frame = spark.createDataFrame(rows, "k long, ms long, arr long, n long, v long, status int")
+    placed = with_windows(frame, "ms", 100)
+    out = on_time_and_refires(placed, layout, part_rows=3, gather_rows=gather_rows)
+    least = lambda x: tuple((v is not None, v or 0) for v in x)
+    want = {}
+    for key in {r[0] for r in rows}:
+        mine, firsts = [r for r in rows if r[0] == key], {}
+        for r in sorted(mine, key=lambda r: least((r[2], r[3], r[5]))):
+            firsts.setdefault((r[1], r[4]), (r[1], (r[2], r[3], r[5])))
+        marks = sorted(((r[2], r[3], r[5]) for r in mine if r[5] == 1), key=least)
+        panes = [[x for x in firsts.values() if x[1][2] == 0]]
+        panes += [[x for x in firsts.values() if least(x[1]) <= least(m)] for m in marks]
+        for number, pane in enumerate(panes):
+            pane.sort(key=lambda x: (x[0], least(x[1])))
+            for at in range(0, len(pane), 3):
+                kind = "refire" if number else "on_time"
+                want[key, number, kind, at // 3] = [x[0] for x in pane[at:at + 3]]
+    got = {(r.k, r.pane, r.kind, r.part): [x["ms"] for x in r["items"]] for r in out.collect()}
+    assert got == want
+
+
+def test_long_lists_are_gathered_in_more_tasks(spark):
+    """An aggregate holds many lists at once, and panes grow with their squares."""
+    rows = spark.range(600_000).selectExpr("id % 100 AS k")
+    assert hot_groups_and_tasks(rows, ["k"], 10_000) == (None, 100)
+    hot, tasks = hot_groups_and_tasks(rows, ["k"], 5_999)
+    assert (hot.n, tasks) == (100, None)
+    mixed = spark.range(600_000).selectExpr("IF(id < 2000, -1, id) AS k")
+    assert hot_groups_and_tasks(mixed, ["k"], 10_000) == (None, 3)
+    assert hot_groups_and_tasks(rows.limit(1_000), ["k"], 10_000) == (None, None)
+    assert hot_groups_and_tasks(rows.limit(0), ["k"], 10_000) == (None, None)
+
+
 def test_unknown_mode_is_refused():
     with pytest.raises(ValueError):
         JobConfig(refire="some")
